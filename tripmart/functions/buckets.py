@@ -1,4 +1,9 @@
-"""Category labels."""
+"""Category labels.
+
+No label is ever null.  Beyond convenience this keeps plans lean: joining on a
+nullable derived key makes the optimizer push ``key IS NOT NULL`` with the whole
+expression down into the scan filter.
+"""
 
 from __future__ import annotations
 
@@ -23,19 +28,17 @@ def passenger_category(passengers: Column, contract: TripContract = DEFAULT) ->
     Negative and fractional counts therefore land in the last label too.
     """
     exact = passengers.isin([float(n) for n in contract.exact_passengers])
-    return (
-        F.when(passengers.isNull(), contract.missing_passengers)
-        .when(exact, passengers.try_cast("int").cast("string"))
-        .otherwise(contract.other_passengers)
-    )
+    number = F.when(exact, passengers.try_cast("int").cast("string"))
+    present = F.coalesce(number, F.lit(contract.other_passengers))
+    return F.when(passengers.isNull(), contract.missing_passengers).otherwise(present)
 
 
 def passenger_group(category: Column, contract: TripContract = DEFAULT) -> Column:
-    """Label of the group a passenger category belongs to, else null."""
+    """Label of the group a passenger category belongs to, else an empty text."""
     group = F
     for label, members in contract.passenger_groups:
         group = group.when(category.isin(list(members)), label)
-    return group.otherwise(F.lit(None).cast("string"))
+    return group.otherwise("")
 
 
 def day_type(weekend: Column, contract: TripContract = DEFAULT) -> Column:

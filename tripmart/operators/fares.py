@@ -43,9 +43,9 @@ def weighted_median(
 
     ``histogram`` has one row per (key, value).
     """
-    sliced = histogram.withColumn(
-        "slice", F.floor(F.log2(F.col(value)) * F.lit(_SLICES_PER_OCTAVE))
-    )
+    position = F.floor(F.log2(F.col(value)) * F.lit(_SLICES_PER_OCTAVE))
+    # Never null, so that the join below adds no null test to push to the scan.
+    sliced = histogram.withColumn("slice", F.coalesce(position, F.lit(0)))
     by_slice = sliced.groupBy(key, "slice").agg(F.sum(weight).alias("slice_trips"))
     up_to_here = (
         Window.partitionBy(key)

@@ -41,8 +41,8 @@ def passenger_summary(cells: DataFrame, contract: TripContract = DEFAULT) -> Dat
 
 
 def single_vs_multiple(cells: DataFrame, contract: TripContract = DEFAULT) -> DataFrame:
-    """One passenger against several; other categories have no group and drop
-    out when the groups are joined to their domain.
+    """One passenger against several; other categories drop out when the groups
+    are joined to their domain.
 
     Category states are merged as sums, so each mean stays the mean of its own
     trips.

@@ -28,19 +28,14 @@ LOCATION_KEYS = [*MONTH_KEYS, "is_weekend", "PULocationID"]
 FARE_KEYS = [*MONTH_KEYS, "distance_band"]
 
 
-def _period_keys_when_valid(cells: DataFrame, keys: list[str]) -> DataFrame:
-    """Null the finer keys of empty cells, so that stray values make no groups."""
-    finer = [key for key in keys if key not in MONTH_KEYS]
-    valid = F.col("structurally_valid")
-    return cells.withColumns({key: F.when(valid, F.col(key)) for key in finer})
-
-
 def time_rollup(cells: DataFrame) -> DataFrame:
     """All trip states by date, hour and category: at most 24 x 54 rows a day.
 
-    Each source month also keeps one empty cell if it had invalid rows.
+    Empty cells lose their date, so that stray dates make no groups; they leave
+    a source month present that has no valid trip.
     """
-    return merge_cells(_period_keys_when_valid(cells, TIME_KEYS), TIME_KEYS, STATES)
+    date = F.when(F.col("structurally_valid"), F.col("pickup_date"))
+    return merge_cells(cells.withColumn("pickup_date", date), TIME_KEYS, STATES)
 
 
 def location_rollup(prepared: DataFrame, contract: TripContract = DEFAULT) -> DataFrame:
@@ -51,7 +46,7 @@ def location_rollup(prepared: DataFrame, contract: TripContract = DEFAULT) -> Da
 
 def fare_rollup(cells: DataFrame) -> DataFrame:
     """Positive fares by band as value counts, the mergeable state of a median."""
-    return fare_histogram(_period_keys_when_valid(cells, FARE_KEYS), FARE_KEYS)
+    return fare_histogram(cells, FARE_KEYS)
 
 
 def merge_rollups(rollup: DataFrame, keys: list[str]) -> DataFrame:

@@ -37,22 +37,19 @@ def order_line_trips(
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left").join(
         customers, F.col("o_custkey") == F.col("c_custkey"), "left"
     )
-    with_start = joined.withColumn(
-        "p0",
-        F.expr(
-            "timestampadd(MINUTE, cast("
-            " (CASE WHEN l_suppkey % 50 = 0 THEN 1440 ELSE 0 END)"
-            " + (l_orderkey * 37 + l_partkey * 11 + l_linenumber * 101) % 1440 AS INT),"
-            " l_shipdate)"
-        ),
+    minutes = (
+        "(CASE WHEN l_suppkey % 50 = 0 THEN 1440 ELSE 0 END"
+        " + (l_orderkey * 37 + l_partkey * 11 + l_linenumber * 101) % 1440)"
     )
-    return with_start.selectExpr(
+    seconds = "((l_partkey * 17 + l_suppkey * 29 + l_linenumber * 7) % 14800 - 200)"
+    return joined.selectExpr(
         "cast(year(l_shipdate) AS INT) AS source_year",
         "cast(month(l_shipdate) AS INT) AS source_month",
-        "CASE WHEN l_partkey % 997 = 0 THEN NULL ELSE p0 END AS tpep_pickup_datetime",
-        "CASE WHEN l_partkey % 991 = 0 THEN NULL ELSE timestampadd(SECOND, cast("
-        " (l_partkey * 17 + l_suppkey * 29 + l_linenumber * 7) % 14800 - 200 AS INT), p0)"
-        " END AS tpep_dropoff_datetime",
+        # A null offset gives a null time.
+        f"timestampadd(MINUTE, CASE WHEN l_partkey % 997 <> 0 THEN cast({minutes} AS INT) END,"
+        " l_shipdate) AS tpep_pickup_datetime",
+        "timestampadd(SECOND, CASE WHEN l_partkey % 991 <> 0 THEN"
+        f" cast({minutes} * 60 + {seconds} AS INT) END, l_shipdate) AS tpep_dropoff_datetime",
         "CASE WHEN l_orderkey % 499 = 0 THEN NULL WHEN l_orderkey % 101 = 0 THEN 99L"
         " ELSE cast(c_nationkey AS BIGINT) END AS PULocationID",
         "CASE WHEN l_orderkey % 503 = 0 THEN NULL ELSE l_suppkey % 25 END AS DOLocationID",
