@@ -106,12 +106,12 @@ def daytype_grains(cells: DataFrame) -> DataFrame:
     return occupied(grains)
 
 
-def daytype_grains_from_rollups(time_cells: DataFrame, location_cells: DataFrame) -> DataFrame:
+def daytype_grains_from_rollups(day_cells: DataFrame, location_cells: DataFrame) -> DataFrame:
     """The same layout from a rollup by time and one by location."""
     sources = {"PULocationID": location_cells}
     parts = []
     for key in _GRAINS:
-        part = merge_cells(sources.get(key, time_cells), ["is_weekend", key], _STATES)
+        part = merge_cells(sources.get(key, day_cells), ["is_weekend", key], _STATES)
         parts.append(occupied(part).withColumn("grain", F.lit(key)))
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
 

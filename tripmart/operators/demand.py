@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tripmart.functions.calendar import month_label
 from tripmart.operators.cells import merge_cells, occupied
 from tripmart.operators.ranking import top_k
-from tripmart.operators.zones import ZONE_KEYS, attach_zones
+from tripmart.operators.zones import ZONE_KEYS, attach_zones, zone_order
 from tripmart.sources.months import MONTH_KEYS
 
 
@@ -108,3 +108,34 @@ def common_metrics(cells: DataFrame, zones: DataFrame) -> DataFrame:
 def period_common_metrics(cells: DataFrame, zones: DataFrame) -> DataFrame:
     """Common metrics of cells restricted to one period."""
     return common_metrics(cells, zones).drop("months_processed")
+
+
+def common_metrics_of_tables(
+    quality: DataFrame, hour_counts: DataFrame, zone_counts: DataFrame
+) -> DataFrame:
+    """Common metrics from finished tables (a stored report's rollups).
+
+    Each part is one row; they are stacked and folded into one, column by column.
+    """
+    from_table = quality.agg(
+        F.min("month").alias("first_month"),
+        F.max("month").alias("last_month"),
+        F.count("*").alias("months_processed"),
+        F.sum("raw_rows").alias("raw_rows"),
+        F.sum("structurally_valid_rows").alias("valid_rows"),
+    )
+    span = F.concat_ws("_to_", F.array_distinct(F.array("first_month", "last_month")))
+    totals = from_table.select(
+        span.alias("source_period"), "months_processed", "raw_rows", "valid_rows"
+    )
+    hour = top_k(hour_counts, hour_order(), 1).select(
+        F.col("pickup_hour").alias("busiest_pickup_hour"),
+        F.col("trip_count").alias("busiest_pickup_hour_trips"),
+    )
+    zone = top_k(zone_counts, zone_order(), 1).select(
+        F.col("pickup_Borough").alias("top_pickup_borough"),
+        F.col("pickup_Zone").alias("top_pickup_zone"),
+        F.col("trip_count").alias("top_pickup_zone_trips"),
+    )
+    stacked = totals.unionByName(hour, True).unionByName(zone, True)
+    return stacked.agg(*[F.max(name).alias(name) for name in stacked.columns])

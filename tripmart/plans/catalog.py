@@ -231,7 +231,7 @@ def top_zone_by_daytype(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rollup_merge(spark: SparkSession, folder: str) -> DataFrame:
-    by_month = rollup.time_rollup(_cells(spark, folder))
+    by_month = rollup.category_cells(rollup.trip_rollup(_cells(spark, folder)))
     return rounded(
         occupied(rollup.merge_rollups(by_month, ["distance_band", "passenger_category"])), 3
     )
