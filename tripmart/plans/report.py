@@ -12,6 +12,7 @@ and a lost executor costs a task, not the job.
 from __future__ import annotations
 
 import argparse
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +26,8 @@ from tripmart.sources.tables import write_table
 from tripmart.sources.trips import monthly_paths, read_trips
 from tripmart.sources.zones import assert_unique_key, read_zones
 
+_JOBS_AT_ONCE = 4
+
 #: rollup -> columns its files are partitioned by
 ROLLUPS = {"trip": ["grain", *MONTH_KEYS], "location": MONTH_KEYS, "fare": MONTH_KEYS}
 
@@ -42,16 +45,25 @@ def write_rollups(trips: DataFrame, path: str, contract: TripContract = DEFAULT)
         "location": rollup.location_rollup(prepared, contract),
         "fare": rollup.fare_rollup(cells),
     }
-    for name, folders in ROLLUPS.items():
+
+    def write(name: str) -> None:
         (
             rollups[name]
-            .hint("rebalance", *folders)
+            .hint("rebalance", *ROLLUPS[name])
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*folders)
+            .partitionBy(*ROLLUPS[name])
             .parquet(f"{path}/{name}")
         )
 
+    _run_all(write, rollups)
+
+
+def _run_all(job, names) -> None:
+    """Run independent jobs side by side, so one job's tail leaves no idle cores."""
+    with ThreadPoolExecutor(_JOBS_AT_ONCE) as pool:
+        list(pool.map(job, names))
+
 
 def read_rollups(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(f"{path}/{name}") for name in ROLLUPS}
@@ -122,8 +134,7 @@ def slice_tables(
 
 
 def write_tables(tables: dict[str, DataFrame], path: str, fmt: str = "csv") -> None:
-    for name, table in tables.items():
-        write_table(table, f"{path}/{name}", fmt)
+    _run_all(lambda name: write_table(tables[name], f"{path}/{name}", fmt), tables)
 
 
 def build_report(

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,9 @@ _WIDENS_TO_BIGINT = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _WIDENS_TO_DOUBLE = (T.ByteType, T.ShortType, T.IntegerType, T.FloatType, T.DoubleType)
 
 
+_FOOTER_READERS = 8
+
+
 class ContractError(ValueError):
     """Input does not satisfy the trip contract."""
 
@@ -40,7 +44,8 @@ def period_of(path: str, contract: TripContract = DEFAULT) -> tuple[int, int]:
 def period_columns(path: Column, contract: TripContract = DEFAULT) -> tuple[Column, Column]:
     """The same as columns, for any frame that carries a path or file name.
 
-    A name without a period fails the query instead of yielding null.
+    A name without a period fails the query instead of yielding null.  Matching
+    a pattern per row is slow; ``read_trips`` labels files before reading them.
     """
 
     def part(group: int) -> Column:
@@ -103,43 +108,35 @@ def read_trips(
 ) -> DataFrame:
     """All monthly files as one lazy frame labelled with the period in its name.
 
-    Only footers are read here.  Months whose physical types the Parquet reader
-    can widen share one scan (also when they spell a column differently or lack
-    an optional one); the others share one scan per distinct schema and are
-    converted column by column.
+    Each month is its own scan with its period as two constants.  The validity
+    rule then folds to comparisons with constants, and a filter on the period
+    removes the other months' scans from the plan; deriving the period from the
+    file path of every row costs several times the rest of the scan.
+
+    Only footers are read here.  Files whose physical types the Parquet reader
+    can widen are read under the contract schema (so a column may be spelled in
+    any case, and an optional one may be absent); other files are read as they
+    are and converted column by column.
     """
-    periods = {path: period_of(path, contract) for path in paths}
-    groups: dict[str, list[str]] = defaultdict(list)
-    schemas: dict[str, T.StructType] = {}
-    for path in paths:
-        schema = spark.read.parquet(path).schema
+    periods = [period_of(path, contract) for path in paths]
+    with ThreadPoolExecutor(_FOOTER_READERS) as pool:
+        schemas = list(pool.map(lambda path: spark.read.parquet(path).schema, paths))
+    members: dict[tuple[tuple[int, int], str], list[str]] = {}
+    by_key: dict[str, T.StructType] = {}
+    for path, period, schema in zip(paths, periods, schemas, strict=True):
         check_columns(schema.names, contract, path)
         if _reader_widens(schema, contract):
             schema = contract_schema(contract)
-        key = schema.json()
-        schemas[key] = schema
-        groups[key].append(path)
-
-    scans = [
-        _label_periods(spark, spark.read.schema(schemas[key]).parquet(*members), periods, contract)
-        for key, members in groups.items()
-    ]
-    typed = [typed_trips(scan, contract) for scan in scans]
-    trips = typed[0]
-    for more in typed[1:]:
-        trips = trips.unionByName(more)
-    return trips
-
-
-def _label_periods(
-    spark: SparkSession,
-    scan: DataFrame,
-    periods: dict[str, tuple[int, int]],
-    contract: TripContract,
-) -> DataFrame:
-    """Attach source_year / source_month from the file each row came from."""
-    year, month = period_columns(F.col("_metadata.file_path"), contract)
-    return scan.select("*", year.alias("source_year"), month.alias("source_month"))
+        by_key[schema.json()] = schema
+        members.setdefault((period, schema.json()), []).append(path)
+
+    scans = []
+    for (period, key), files in members.items():
+        year, month = (F.lit(number) for number in period)
+        scan = spark.read.schema(by_key[key]).parquet(*files)
+        labelled = scan.withColumns({"source_year": year, "source_month": month})
+        scans.append(typed_trips(labelled, contract))
+    return reduce(DataFrame.unionByName, scans)
 
 
 def monthly_paths(
