@@ -13,6 +13,7 @@ def local_session(cores: str = "8", time_zone: str = "UTC") -> SparkSession:
         .config("spark.sql.session.timeZone", time_zone)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )

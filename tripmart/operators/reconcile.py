@@ -1,8 +1,8 @@
 """Reconciliation of two independently produced result sets.
 
 A *side* is a set of small result tables.  Values are first brought to one row
-per metric on each side, then the sides meet in full outer joins; a metric that
-one side cannot supply stays PENDING and is never compared with another period.
+per metric on each side, then the sides are paired; a metric that one
+side cannot supply stays PENDING and is never compared with another period.
 """
 
 from __future__ import annotations
@@ -152,19 +152,30 @@ def side_top_zone(side: Side) -> DataFrame | None:
 # ---- comparators -------------------------------------------------------------
 
 
-def _meet(
-    left: DataFrame | None, right: DataFrame | None, key: str, values: list[str]
+def _pair(
+    left: DataFrame | None, right: DataFrame | None, values: list[str]
 ) -> DataFrame | None:
-    """Full outer join of both sides; an absent side contributes nulls."""
-    known = left if left is not None else right
-    if known is None:
-        return None
-
-    def named(side: DataFrame | None, prefix: str) -> DataFrame:
-        table = known.limit(0) if side is None else side
-        return table.select(key, *[F.col(name).alias(f"{prefix}_{name}") for name in values])
+    """Both sides' values per metric; an absent side or metric gives nulls.
 
-    return named(left, "left").join(named(right, "right"), key, "full_outer")
+    A side holds at most one row per metric.  Stacking and grouping does what a
+    full outer join would, also where the metric is a constant, which would make
+    that join a nested loop.
+    """
+    stacked = [
+        side.select("metric", *[F.col(name).alias(f"{prefix}_{name}") for name in values])
+        for prefix, side in (("left", left), ("right", right))
+        if side is not None
+    ]
+    if not stacked:
+        return None
+    both = stacked[0] if len(stacked) == 1 else stacked[0].unionByName(stacked[1], True)
+    known = [f"{prefix}_{name}" for prefix in ("left", "right") for name in values]
+    return both.groupBy("metric").agg(
+        *[
+            (F.max(name) if name in both.columns else F.lit(None)).alias(name)
+            for name in known
+        ]
+    )
 
 
 def _report(
@@ -191,7 +202,7 @@ def _report(
 
 def compare_counts(left: DataFrame | None, right: DataFrame | None) -> DataFrame | None:
     """Exact comparison of counts keyed by metric: PASS, FAIL or PENDING."""
-    both = _meet(left, right, "metric", ["valid_rows"])
+    both = _pair(left, right, ["valid_rows"])
     if both is None:
         return None
     a, b = F.col("left_valid_rows").cast("bigint"), F.col("right_valid_rows").cast("bigint")
@@ -218,7 +229,7 @@ def _compare_ranked(
     mismatch: str,
     hints: dict[str, str],
 ) -> DataFrame | None:
-    both = _meet(left, right, "metric", ["name", "trips"])
+    both = _pair(left, right, ["name", "trips"])
     if both is None:
         return None
     missing = reduce(
@@ -273,7 +284,11 @@ def compare_band_fares(
     left: DataFrame, right: DataFrame, tolerance: float = TOLERANCE
 ) -> DataFrame:
     """Mean fare per band within an absolute tolerance: PASS, FAIL or REVIEW."""
-    both = _meet(band_fares(left), band_fares(right), "distance_band", ["avg_fare"])
+    sides = [
+        band_fares(side).withColumnRenamed("avg_fare", f"{prefix}_avg_fare")
+        for prefix, side in (("left", left), ("right", right))
+    ]
+    both = sides[0].join(sides[1], "distance_band", "full_outer")
     a, b = F.col("left_avg_fare").cast("double"), F.col("right_avg_fare").cast("double")
     gap = F.abs(a - b)
     status = F.when(gap.isNull(), REVIEW).when(gap <= F.lit(tolerance), PASS).otherwise(FAIL)

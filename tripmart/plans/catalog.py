@@ -40,6 +40,8 @@ NO_PERIOD = (2010, 1)
 YEARS = list(range(1995, 2002))
 SCALES = replace(DEFAULT, scales=(*DEFAULT.scales, 84))
 OTHER_SIDE_DROPS = 24
+#: Amounts have up to seven decimals; one more keeps their sums off rounding ties.
+SUM_DIGITS = 8
 
 
 def rounded(table: DataFrame, digits: int = 6) -> DataFrame:
@@ -88,7 +90,7 @@ def scan_trips(spark: SparkSession, folder: str) -> DataFrame:
         F.count("tpep_pickup_datetime").alias("pickups"),
         F.count("tpep_dropoff_datetime").alias("dropoffs"),
         *[F.sum(name).alias(name) for name in DEFAULT.ids],
-        *[F.round(F.sum(name), 3).alias(name) for name in sums],
+        *[F.round(F.sum(name), SUM_DIGITS).alias(name) for name in sums],
         F.count("airport_fee").alias("airport_fee"),
     )
 
@@ -232,9 +234,10 @@ def top_zone_by_daytype(spark: SparkSession, folder: str) -> DataFrame:
 
 def rollup_merge(spark: SparkSession, folder: str) -> DataFrame:
     by_month = rollup.category_cells(rollup.trip_rollup(_cells(spark, folder)))
-    return rounded(
-        occupied(rollup.merge_rollups(by_month, ["distance_band", "passenger_category"])), 3
-    )
+    merged = occupied(rollup.merge_rollups(by_month, ["distance_band", "passenger_category"]))
+    # Quotients are rounded shorter than sums of decimal amounts.
+    quotients = merged.withColumn("per_mile_sum", F.round("per_mile_sum", 6))
+    return rounded(quotients, SUM_DIGITS)
 
 
 def scale_sweep(spark: SparkSession, folder: str) -> DataFrame:
