@@ -235,9 +235,9 @@ def top_zone_by_daytype(spark: SparkSession, folder: str) -> DataFrame:
 def rollup_merge(spark: SparkSession, folder: str) -> DataFrame:
     by_month = rollup.category_cells(rollup.trip_rollup(_cells(spark, folder)))
     merged = occupied(rollup.merge_rollups(by_month, ["distance_band", "passenger_category"]))
-    # Quotients are rounded shorter than sums of decimal amounts.
-    quotients = merged.withColumn("per_mile_sum", F.round("per_mile_sum", 6))
-    return rounded(quotients, SUM_DIGITS)
+    # Sums of quotients have no last decimal to be exact in.
+    quotients = {name: F.round(name, 6) for name in ("per_mile_sum", "duration_sum")}
+    return rounded(merged.withColumns(quotients), SUM_DIGITS)
 
 
 def scale_sweep(spark: SparkSession, folder: str) -> DataFrame:

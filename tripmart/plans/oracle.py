@@ -286,7 +286,7 @@ STATES = """count(*) AS trip_count,
   count(total_amount) FILTER (valid_fare) AS total_count,
   round(sum(trip_distance) FILTER (valid_distance), 8) AS distance_sum,
   count(*) FILTER (valid_distance) AS distance_count,
-  round(sum(trip_duration_minutes), 8) AS duration_sum,
+  round(sum(trip_duration_minutes), 6) AS duration_sum,
   count(trip_duration_minutes) AS duration_count,
   round(sum(congestion_surcharge), 8) AS surcharge_sum,
   count(congestion_surcharge) AS surcharge_count,
