@@ -27,8 +27,9 @@ YEAR = [
     (12, 3665110, 20.549427738756737, 29.496721905534507, 2.221731395055613),
 ]
 YEAR_FARE, YEAR_TOTAL, YEAR_SURCHARGE = 19.96154876936021, 28.753200435569383, 2.232427812718964
+# Trips of one published month by hour, and of all months by passenger count.
 HOURS = [78975, 53560, 37462, 24769, 16709, 18749, 41391, 83648, 117126, 128857, 138657, 150411,
-         164432, 169714, 182697, 189177, 190015, 207065 - 1000, 212616, 183870, 159877, 160762,
+         164432, 169714, 182697, 189177, 190015, 206065, 212616, 183870, 159877, 160762,
          143144, 109175]
 # (category, trips, mean duration)
 CATEGORIES = [

@@ -29,6 +29,7 @@ STATES = (
 )
 
 #: Independent defect counters over raw rows; they overlap and do not add up.
+#: These are the columns of the quality table.
 DEFECTS = [
     "null_pickup_timestamp",
     "null_dropoff_timestamp",

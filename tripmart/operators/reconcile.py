@@ -41,6 +41,11 @@ ROWS_METRIC = "Structurally valid rows"
 HOUR_METRIC = "Busiest pickup hour"
 ZONE_METRIC = "Top pickup zone"
 BAND_METRIC = "Average fare - "
+ALL_BANDS_METRIC = "Average fare by distance band"
+ROWS_RULE = "Exact"
+HOUR_RULE = "Same hour and count"
+ZONE_RULE = "Same zone and count, except documented ties"
+BAND_RULE = "Absolute difference <= %.2f"
 # ------------------------------------------------------------------------------
 
 REPORT_COLUMNS = [
@@ -212,7 +217,7 @@ def compare_counts(left: DataFrame | None, right: DataFrame | None) -> DataFrame
         a.cast("string"),
         b.cast("string"),
         (b - a).cast("string"),
-        "Exact",
+        ROWS_RULE,
         status,
         {
             PENDING: "One side has no valid-row count for this period.",
@@ -255,7 +260,7 @@ def compare_hours(left: DataFrame | None, right: DataFrame | None) -> DataFrame
         left,
         right,
         lambda hour, trips: hour_with_trips(hour.cast("int"), trips),
-        "Same hour and count",
+        HOUR_RULE,
         FAIL,
         {PENDING: "One side has no hourly result for this period."},
     )
@@ -267,7 +272,7 @@ def compare_zones(left: DataFrame | None, right: DataFrame | None) -> DataFrame
         left,
         right,
         name_with_trips,
-        "Same zone and count, except documented ties",
+        ZONE_RULE,
         REVIEW,
         {
             PENDING: "One side has no zone result for this period.",
@@ -301,13 +306,13 @@ def compare_band_fares(
 
 
 def band_rule(tolerance: float = TOLERANCE) -> str:
-    return f"Absolute difference <= {tolerance:.2f}"
+    return BAND_RULE % tolerance
 
 
 def pending_bands(known: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     """One PENDING line for the band table a side does not have."""
     return known.sparkSession.range(0, 1, 1, 1).select(
-        F.lit("Average fare by distance band").alias("metric"),
+        F.lit(ALL_BANDS_METRIC).alias("metric"),
         F.lit(NOT_AVAILABLE).alias("left_result"),
         F.lit(NOT_AVAILABLE).alias("right_result"),
         F.lit("").alias("difference"),

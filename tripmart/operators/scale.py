@@ -10,6 +10,14 @@ from tripmart.operators.cells import merge_cells
 from tripmart.operators.zones import attach_zones
 from tripmart.sources.months import MONTH_KEYS
 
+# ---- fixed values: texts of the sweep table -----------------------------------
+SUCCESS, SKIPPED = "SUCCESS", "SKIPPED"
+COMPLETE_PREFIX = "first %d month(s) from %s"
+SKIPPED_PREFIX = "first %d month(s)"
+WHOLE_SPAN = " to "
+MISSING_FILE = "Missing file: "
+# -------------------------------------------------------------------------------
+
 
 def scale_cells(prepared: DataFrame) -> DataFrame:
     """Per (month, location) counts; invalid rows only mark their month as read."""
@@ -84,11 +92,11 @@ def scale_sweep(
     )
     complete = F.col("files_read") == F.col("months")
     whole = F.col("months") == F.lit(max(contract.scales))
-    span = F.concat_ws(" to ", "first_month.month", "last_month.month")
+    span = F.concat_ws(WHOLE_SPAN, "first_month.month", "last_month.month")
     prefix = F.when(
         complete,
-        F.format_string("first %d month(s) from %s", "months", F.col("first_month.month")),
-    ).otherwise(F.format_string("first %d month(s)", "months"))
+        F.format_string(COMPLETE_PREFIX, "months", F.col("first_month.month")),
+    ).otherwise(F.format_string(SKIPPED_PREFIX, "months"))
 
     def if_complete(value):
         return F.when(complete, value)
@@ -96,7 +104,7 @@ def scale_sweep(
     return per_scale.orderBy("months").select(
         "months",
         F.when(whole, span).otherwise(prefix).alias("period"),
-        F.when(complete, "SUCCESS").otherwise("SKIPPED").alias("status"),
+        F.when(complete, SUCCESS).otherwise(SKIPPED).alias("status"),
         if_complete(F.col("valid_rows")).alias("valid_rows"),
         if_complete(F.col("files_read")).alias("files_read"),
         if_complete(F.col("first_month.file")).alias("first_file"),
@@ -104,6 +112,6 @@ def scale_sweep(
         if_complete(F.col("zone.pickup_Zone")).alias("top_pickup_zone"),
         if_complete(-F.col("zone.order")).alias("top_pickup_zone_trips"),
         F.when(complete, "")
-        .otherwise(F.concat(F.lit("Missing file: "), F.coalesce("absent.file", F.lit("not in the spine"))))
+        .otherwise(F.concat(F.lit(MISSING_FILE), F.coalesce("absent.file", F.lit("not in the spine"))))
         .alias("result_or_error"),
     )

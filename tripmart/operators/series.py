@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tripmart.contract import DEFAULT, TripContract
 from tripmart.functions.buckets import ordinal
+from tripmart.operators.scale import SUCCESS
 
 
 def band_fares(distance_summary: DataFrame, contract: TripContract = DEFAULT) -> DataFrame:
@@ -45,5 +46,5 @@ def cbd_share(monthly: DataFrame) -> DataFrame:
 
 def successful_scales(sweep: DataFrame) -> DataFrame:
     """Completed scales, data columns only."""
-    done = sweep.filter(F.col("status") == "SUCCESS")
+    done = sweep.filter(F.col("status") == SUCCESS)
     return done.drop("status", "result_or_error").orderBy("months")
