@@ -100,7 +100,7 @@ def test_rewriting_one_month_keeps_the_others(spark, tmp_path):
     path = f"{tmp_path}/rollups"
     january = trips(spark, {}, {})
     february = trips(spark, {"source_month": 2})
-    report.write_rollups(january.unionByName(february), path)
+    report.write_rollups([january, february], path)
     report.write_rollups(trips(spark, {}, {}, {}), path)
     location = report.read_rollups(spark, path)["location"]
     counts = {

@@ -14,10 +14,12 @@ from __future__ import annotations
 import sys
 import time
 from dataclasses import replace
+from functools import reduce
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+from pyspark.sql import DataFrame  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from tests.session import local_session  # noqa: E402
@@ -27,7 +29,7 @@ from tripmart.operators.prepare import prepare  # noqa: E402
 from tripmart.plans import report  # noqa: E402
 from tripmart.plans.trip_view import nation_zones, order_line_trips  # noqa: E402
 from tripmart.sources.months import month_spine  # noqa: E402
-from tripmart.sources.trips import monthly_paths, read_trips  # noqa: E402
+from tripmart.sources.trips import monthly_paths, read_months  # noqa: E402
 
 SOURCE = "/root/testdata/sf0.1"
 MONEY = ("fare_amount", "total_amount", "tip_amount")
@@ -66,10 +68,11 @@ def sweep(spark, folder: str, months: int) -> None:
     for size in [size for size in DEFAULT.scales if size <= months]:
         started = time.perf_counter()
         wanted = periods(size)
-        trips = read_trips(spark, monthly_paths(folder, wanted))
+        parts = read_months(spark, monthly_paths(folder, wanted))
+        cells = reduce(DataFrame.unionByName, [scale.scale_cells(prepare(part)) for part in parts])
         spine = month_spine(spark, wanted[0], wanted[-1])
         one = replace(DEFAULT, scales=(size,))
-        row = scale.scale_sweep(scale.scale_cells(prepare(trips)), zones, spine, one).collect()[0]
+        row = scale.scale_sweep(cells, zones, spine, one).collect()[0]
         seconds = time.perf_counter() - started
         print(f"{size} months: {seconds:.2f}s, {row.valid_rows} valid rows,"
               f" {row.valid_rows / seconds / 1e6:.2f} M/s, {row.top_pickup_zone}", flush=True)
@@ -78,7 +81,7 @@ def sweep(spark, folder: str, months: int) -> None:
 def full(spark, folder: str, output: str, months: int) -> None:
     wanted = periods(months)
     started = time.perf_counter()
-    trips = read_trips(spark, monthly_paths(folder, wanted))
+    trips = read_months(spark, monthly_paths(folder, wanted))
     spine = month_spine(spark, wanted[0], wanted[-1])
     report.build_report(spark, trips, nation_zones(spark, SOURCE), output, spine, wanted[0])
     print(f"full report, {months} months: {time.perf_counter() - started:.2f}s", flush=True)

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import argparse
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,7 +24,7 @@ from tripmart.operators.prepare import in_period, prepare
 from tripmart.operators.zones import top_zones, zone_demand
 from tripmart.sources.months import MONTH_KEYS, month_spine, require_months
 from tripmart.sources.tables import write_table
-from tripmart.sources.trips import monthly_paths, read_trips
+from tripmart.sources.trips import monthly_paths, read_months
 from tripmart.sources.zones import assert_unique_key, read_zones
 
 _JOBS_AT_ONCE = 4
@@ -32,18 +33,25 @@ _JOBS_AT_ONCE = 4
 ROLLUPS = {"trip": ["grain", *MONTH_KEYS], "location": MONTH_KEYS, "fare": MONTH_KEYS}
 
 
-def write_rollups(trips: DataFrame, path: str, contract: TripContract = DEFAULT) -> None:
+def write_rollups(
+    trips: DataFrame | list[DataFrame], path: str, contract: TripContract = DEFAULT
+) -> None:
     """Write the rollups of all months in ``trips``, replacing those months only.
 
+    Given month by month, each month is aggregated next to its scan and only
+    rollup rows meet in the union; otherwise every trip would pass through it.
+    Parts of one month may come separately: their cells add up when read.
+
     ``rebalance`` gathers each month into few files and lets AQE split a month
     whose rollup is large.
     """
-    prepared = prepare(trips, contract)
-    cells = trip_cells(prepared)
+    parts = [trips] if isinstance(trips, DataFrame) else trips
+    prepared = [prepare(part, contract) for part in parts]
+    cells = [trip_cells(part) for part in prepared]
     rollups = {
-        "trip": rollup.trip_rollup(cells),
-        "location": rollup.location_rollup(prepared, contract),
-        "fare": rollup.fare_rollup(cells),
+        "trip": _union([rollup.trip_rollup(part) for part in cells]),
+        "location": _union([rollup.location_rollup(part, contract) for part in prepared]),
+        "fare": _union([rollup.fare_rollup(part) for part in cells]),
     }
 
     def write(name: str) -> None:
@@ -59,6 +67,10 @@ def write_rollups(trips: DataFrame, path: str, contract: TripContract = DEFAULT)
     _run_all(write, rollups)
 
 
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _run_all(job, names) -> None:
     """Run independent jobs side by side, so one job's tail leaves no idle cores."""
     with ThreadPoolExecutor(_JOBS_AT_ONCE) as pool:
@@ -139,7 +151,7 @@ def write_tables(tables: dict[str, DataFrame], path: str, fmt: str = "csv") -> N
 
 def build_report(
     spark: SparkSession,
-    trips: DataFrame,
+    trips: DataFrame | list[DataFrame],
     zones: DataFrame,
     output: str,
     months: DataFrame | None = None,
@@ -184,7 +196,7 @@ def main() -> None:
     periods = [(year, index + 1) for year, index in _periods_between(given.first, given.last)]
     build_report(
         spark,
-        read_trips(spark, monthly_paths(given.trips, periods)),
+        read_months(spark, monthly_paths(given.trips, periods)),
         read_zones(spark, given.zones),
         given.output,
         month_spine(spark, given.first, given.last),

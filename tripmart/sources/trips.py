@@ -103,10 +103,10 @@ def _reader_widens(schema: T.StructType, contract: TripContract) -> bool:
     )
 
 
-def read_trips(
+def read_months(
     spark: SparkSession, paths: list[str], contract: TripContract = DEFAULT
-) -> DataFrame:
-    """All monthly files as one lazy frame labelled with the period in its name.
+) -> list[DataFrame]:
+    """Monthly files as lazy frames labelled with the period in their names.
 
     Each month is its own scan with its period as two constants.  The validity
     rule then folds to comparisons with constants, and a filter on the period
@@ -136,7 +136,14 @@ def read_trips(
         scan = spark.read.schema(by_key[key]).parquet(*files)
         labelled = scan.withColumns({"source_year": year, "source_month": month})
         scans.append(typed_trips(labelled, contract))
-    return reduce(DataFrame.unionByName, scans)
+    return scans
+
+
+def read_trips(
+    spark: SparkSession, paths: list[str], contract: TripContract = DEFAULT
+) -> DataFrame:
+    """All monthly files as one frame; see ``read_months``."""
+    return reduce(DataFrame.unionByName, read_months(spark, paths, contract))
 
 
 def monthly_paths(
