@@ -108,3 +108,10 @@ def test_rewriting_one_month_keeps_the_others(spark, tmp_path):
         for row in rows_of(merge_cells(location, ["source_month"], ["raw_rows"]))
     }
     assert counts == {1: 3, 2: 1}
+
+
+def test_periods_between():
+    assert report.periods_between((2024, 11), (2025, 2)) == [
+        (2024, 11), (2024, 12), (2025, 1), (2025, 2),
+    ]
+    assert report.periods_between((2024, 12), (2024, 12)) == [(2024, 12)]

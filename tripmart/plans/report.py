@@ -177,10 +177,10 @@ def _period(text: str) -> tuple[int, int]:
     return int(year), int(month)
 
 
-def _periods_between(first: tuple[int, int], last: tuple[int, int]) -> list[tuple[int, int]]:
+def periods_between(first: tuple[int, int], last: tuple[int, int]) -> list[tuple[int, int]]:
     count = (last[0] - first[0]) * 12 + last[1] - first[1] + 1
     start = first[0] * 12 + first[1] - 1
-    return [divmod(start + i, 12) for i in range(count)]
+    return [((start + i) // 12, (start + i) % 12 + 1) for i in range(count)]
 
 
 def main() -> None:
@@ -193,7 +193,7 @@ def main() -> None:
     parser.add_argument("--slice", type=_period, help="also write this period's tables")
     given = parser.parse_args()
     spark = SparkSession.builder.appName("tripmart report").getOrCreate()
-    periods = [(year, index + 1) for year, index in _periods_between(given.first, given.last)]
+    periods = periods_between(given.first, given.last)
     build_report(
         spark,
         read_months(spark, monthly_paths(given.trips, periods)),
