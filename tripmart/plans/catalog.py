@@ -40,8 +40,8 @@ NO_PERIOD = (2010, 1)
 YEARS = list(range(1995, 2002))
 SCALES = replace(DEFAULT, scales=(*DEFAULT.scales, 84))
 OTHER_SIDE_DROPS = 24
-#: Amounts have up to seven decimals; one more keeps their sums off rounding ties.
-SUM_DIGITS = 8
+#: Amounts have up to seven decimals, so sums rounded there are never near a tie.
+SUM_DIGITS = 7
 
 
 def rounded(table: DataFrame, digits: int = 6) -> DataFrame:

@@ -280,15 +280,15 @@ sweep AS (SELECT months,
   FROM totals LEFT JOIN tops USING (months))"""
 
 STATES = """count(*) AS trip_count,
-  round(sum(fare_amount) FILTER (valid_fare), 8) AS fare_sum,
+  round(sum(fare_amount) FILTER (valid_fare), 7) AS fare_sum,
   count(*) FILTER (valid_fare) AS fare_count,
-  round(sum(total_amount) FILTER (valid_fare), 8) AS total_sum,
+  round(sum(total_amount) FILTER (valid_fare), 7) AS total_sum,
   count(total_amount) FILTER (valid_fare) AS total_count,
-  round(sum(trip_distance) FILTER (valid_distance), 8) AS distance_sum,
+  round(sum(trip_distance) FILTER (valid_distance), 7) AS distance_sum,
   count(*) FILTER (valid_distance) AS distance_count,
   round(sum(trip_duration_minutes), 6) AS duration_sum,
   count(trip_duration_minutes) AS duration_count,
-  round(sum(congestion_surcharge), 8) AS surcharge_sum,
+  round(sum(congestion_surcharge), 7) AS surcharge_sum,
   count(congestion_surcharge) AS surcharge_count,
   round(sum(fare_amount / trip_distance) FILTER (valid_fare AND valid_distance), 6) AS per_mile_sum,
   count(*) FILTER (valid_fare AND valid_distance) AS per_mile_count,
@@ -322,11 +322,11 @@ def statements() -> dict[str, str]:
             """SELECT source_year, source_month, count(*) AS raw_rows,
   count(tpep_pickup_datetime) AS pickups, count(tpep_dropoff_datetime) AS dropoffs,
   sum(PULocationID)::BIGINT AS "PULocationID", sum(DOLocationID)::BIGINT AS "DOLocationID",
-  round(sum(passenger_count), 8) AS passenger_count, round(sum(trip_distance), 8) AS trip_distance,
-  round(sum(fare_amount), 8) AS fare_amount, round(sum(tip_amount), 8) AS tip_amount,
-  round(sum(total_amount), 8) AS total_amount, round(sum(payment_type), 8) AS payment_type,
-  round(sum(congestion_surcharge), 8) AS congestion_surcharge,
-  count(airport_fee) AS airport_fee, round(sum(cbd_congestion_fee), 8) AS cbd_congestion_fee
+  round(sum(passenger_count), 7) AS passenger_count, round(sum(trip_distance), 8) AS trip_distance,
+  round(sum(fare_amount), 7) AS fare_amount, round(sum(tip_amount), 8) AS tip_amount,
+  round(sum(total_amount), 7) AS total_amount, round(sum(payment_type), 8) AS payment_type,
+  round(sum(congestion_surcharge), 7) AS congestion_surcharge,
+  count(airport_fee) AS airport_fee, round(sum(cbd_congestion_fee), 7) AS cbd_congestion_fee
 FROM trips GROUP BY source_year, source_month"""
         ),
         "source_period": _with(
