@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import exact, simhash, toxicity
+from tripmart.llm import bpe, decontaminate, exact, simhash, toxicity
 from tripmart.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +18,28 @@ def labels(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/labels.parquet")
 
 
+def benchmark(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/benchmark.parquet")
+
+
+def tokenizer_path() -> str:
+    """The tokenizer's file; TRIPMART_TOKENIZER names another than the installed one."""
+    named = os.environ.get("TRIPMART_TOKENIZER")
+    if named:
+        return named
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.encoded(documents(spark, folder), tokenizer_path())
+
+
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(documents(spark, folder), benchmark(spark, folder))
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     groups = exact.exact_groups(documents(spark, folder))
     return groups.select(
@@ -33,15 +56,24 @@ def op9_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
+
+
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     return toxicity.toxicity_scores(docs, toxicity.fitted(docs, labels(spark, folder)))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_bpe": op1_bpe,
+    "op4_decontamination": op4_decontamination,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_toxicity": op10_toxicity,
+    "pipeline": pipeline,
 }
 
 ORACLE_SQL: dict[str, str] = {
