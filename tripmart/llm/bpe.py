@@ -201,7 +201,7 @@ class Encoder:
         self.tables = tables
         self.pattern = regex.compile(WORDS)
         marks = "|".join(map(regex.escape, sorted(tables.special, key=len, reverse=True)))
-        self.split = pre_tokenizers.Split(Regex(WORDS), "removed", invert=True)
+        self.split = pre_tokenizers.Split(Regex(WORDS.replace(SPACES, r"\s")), "removed", invert=True)
         self.special = regex.compile(f"({marks})") if marks else None
         self.reset()
 

@@ -8,7 +8,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import bpe, decontaminate, exact, simhash, toxicity
+from tripmart.llm import (
+    bpe,
+    decontaminate,
+    exact,
+    language,
+    pseudolm,
+    resample,
+    simhash,
+    toxicity,
+)
 from tripmart.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,10 +45,23 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encoded(documents(spark, folder), tokenizer_path())
 
 
+def op2_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return pseudolm.document_scores(documents(spark, folder))
+
+
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, folder), benchmark(spark, folder))
 
 
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return resample.resampled(documents(spark, folder), labels(spark, folder))
+
+
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    return language.languages(docs, language.fitted(docs)).drop("spans")
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     groups = exact.exact_groups(documents(spark, folder))
     return groups.select(
@@ -69,7 +91,10 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
+    "op2_lm_scoring": op2_lm_scoring,
     "op4_decontamination": op4_decontamination,
+    "op5_quality": op5_quality,
+    "op6_language_id": op6_language_id,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_toxicity": op10_toxicity,
