@@ -13,9 +13,11 @@ from tripmart.llm import (
     decontaminate,
     exact,
     language,
+    private,
     pseudolm,
     resample,
     simhash,
+    suffixes,
     toxicity,
 )
 from tripmart.llm.common import documents
@@ -49,6 +51,10 @@ def op2_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return pseudolm.document_scores(documents(spark, folder))
 
 
+def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.without_repeats(documents(spark, folder))
+
+
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, folder), benchmark(spark, folder))
 
@@ -62,6 +68,14 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.languages(docs, language.fitted(docs)).drop("spans")
 
 
+#: Of the registered query alone; a deployment passes its own.
+PSEUDONYM_KEY = "tripmart"
+
+
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return private.pseudonymised(documents(spark, folder), PSEUDONYM_KEY)
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     groups = exact.exact_groups(documents(spark, folder))
     return groups.select(
@@ -92,9 +106,11 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_lm_scoring": op2_lm_scoring,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_decontamination": op4_decontamination,
     "op5_quality": op5_quality,
     "op6_language_id": op6_language_id,
+    "op7_pii": op7_pii,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_toxicity": op10_toxicity,
