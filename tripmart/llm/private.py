@@ -33,7 +33,7 @@ PATTERNS = {
     "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)",
     "date": r"(?<![\d/.-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?!\d|[/.-]\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?!-?\d)",
-    "us_phone": r"(?<!\d)(?:\+?1[ .-]?)?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[ .-])[2-9]\d{2}[ .-]\d{4}(?!\d)",
+    "us_phone": r"(?<!\d)(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)",
     "phone": r"\+[2-9]\d{0,2}(?:[ .-]?\(?\d{2,4}\)?){2,5}(?!\d)",
     "card": r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![ -]?\d)",
 }
@@ -225,19 +225,11 @@ def _ssn(text: Column, key: str, undo: bool) -> Column:
 
 
 def _us_phone(text: Column, key: str, undo: bool) -> Column:
-    """Area and exchange codes start with 2 to 9; a leading 1 is the country."""
-    digits = F.substring(_digits(text), -10, 10)
-    area, exchange, line = (F.substring(digits, *x).cast("long") for x in ((1, 3), (4, 3), (7, 4)))
-    index = ((area - 200) * 800 + exchange - 200) * 10_000 + line
-    new = feistel(index, 80_000, 80_000, F.lit("us_phone"), key, undo)
-    shown = F.format_string(
-        "%03d%03d%04d",
-        (F.floor(new / 8_000_000) + 200).cast("long"),
-        (F.floor(new / 10_000) % 800 + 200).cast("long"),
-        (new % 10_000).cast("long"),
-    )
-    country = F.when(F.length(_digits(text)) == 11, F.lit("1")).otherwise(F.lit(""))
-    return _refill(text, F.concat(country, shown))
+    """Ten digits; a leading 1 is the country and stays."""
+    digits = _digits(text)
+    country = F.when(F.length(digits) == 11, F.lit("1")).otherwise(F.lit(""))
+    new = digit_feistel(F.substring(digits, -10, 10), F.lit("us_phone"), key, undo)
+    return _refill(text, F.concat(country, new))
 
 
 def _phone(text: Column, key: str, undo: bool) -> Column:
