@@ -9,7 +9,9 @@ inside one document or in two.  Every byte covered by a repeated string is remov
 2. An anchor comes with its *piece*, all bytes that a string around it can reach.
    Pieces are counted by two 64-bit hashes: a piece that occurs twice is covered whole,
    an anchor that occurs once covers nothing.
-3. What is left are anchors whose pieces differ.  Their distinct pieces are dealt by
+3. What is left are anchors whose pieces differ.  A string lies in one of three zones by
+   its distance from the anchor, and each zone's strings share a core of bytes; a piece
+   none of whose cores occurs twice covers nothing.  The other distinct pieces are dealt by
    anchor, laid end to end in blocks of bounded size, and sorted to the depth of one
    string.  Over the block's Burrows-Wheeler transform, intervals are extended backwards
    breadth first: level by level this finds the boundaries with common prefixes of 0, 1,
@@ -42,7 +44,7 @@ from tripmart.llm.common import stored, text_chunks
 
 LENGTH = 200
 GRAM = 64
-HOT_PIECES = 2000
+HOT_PIECES = 4000
 BLOCK_BYTES = 1_500_000
 SEGMENT = 1 << 20
 
@@ -107,6 +109,12 @@ def anchors(hashes: np.ndarray, width: int) -> np.ndarray:
     return np.flatnonzero(reach == hashes)
 
 
+def zones(length: int, gram: int) -> list[tuple[int, int]]:
+    """For strings that start in three ranges before the anchor, the bytes all of them hold."""
+    cuts = [round((length - gram) * k / 3) for k in range(4)]
+    return [(-near, length - far) for near, far in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
 class Finder:
     """Anchors of a text with the hashes of their grams and pieces."""
 
@@ -114,8 +122,8 @@ class Finder:
         self.length, self.gram = length, gram
         self.first, self.second = RollingHash(1), RollingHash(2)
 
-    def find(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Places, gram hashes and piece hashes."""
+    def find(self, data: bytes) -> tuple[np.ndarray, ...]:
+        """Places, gram hashes, piece hashes and 21 bits of each zone's core."""
         parts = []
         before = self.length - self.gram
         for start in range(0, max(1, len(data) - self.length + 1), SEGMENT):
@@ -131,14 +139,21 @@ class Finder:
             left, right = np.maximum(at - before, 0), np.minimum(at + self.length, len(text))
             pieces = self.second.between(two, left, right) ^ mixed((at - left).astype(np.uint64))
             gram = self.first.between(one, at, at + self.gram)
-            parts.append((at + low, gram, pieces))
+            cores = np.zeros(len(at), np.uint64)
+            for start_, stop_ in zones(self.length, self.gram):
+                inside = (at + start_ >= 0) & (at + stop_ <= len(text))
+                core = self.second.between(two, np.maximum(at + start_, 0), np.minimum(at + stop_, len(text)))
+                # 0 stands for "reaches beyond the text": no string of the zone is there.
+                bits = np.where(inside, core % np.uint64((1 << 21) - 1) + np.uint64(1), np.uint64(0))
+                cores = (cores << np.uint64(21)) | bits
+            parts.append((at + low, gram, pieces, cores))
         if not parts:
-            return (np.empty(0, np.int64),) + (np.empty(0, np.uint64),) * 2
+            return (np.empty(0, np.int64),) + (np.empty(0, np.uint64),) * 3
         if len(parts) == 1:
             return parts[0]
-        place, gram, pieces = (np.concatenate(column) for column in zip(*parts, strict=True))
-        _, once = np.unique(place, return_index=True)
-        return place[once], gram[once], pieces[once]
+        columns = [np.concatenate(column) for column in zip(*parts, strict=True)]
+        _, once = np.unique(columns[0], return_index=True)
+        return tuple(column[once] for column in columns)
 
 
 def _anchor_batches(length: int, gram: int):
@@ -147,15 +162,16 @@ def _anchor_batches(length: int, gram: int):
         for batch, held in text_chunks(batches):
             rows = batch.column(0).to_numpy()
             found = [finder.find(text.encode("utf-8", "surrogatepass")) for text in held]
-            counts = [len(place) for place, _, _ in found]
+            counts = [len(x[0]) for x in found]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate([x[1] for x in found]).view(np.int64)),
                     pa.array(np.concatenate([x[2] for x in found]).view(np.int64)),
                     pa.array(np.repeat(rows, counts)),
                     pa.array(np.concatenate([x[0] for x in found])),
+                    pa.array(np.concatenate([x[3] for x in found]).view(np.int64)),
                 ],
-                names=["anchor", "piece", "row", "place"],
+                names=["anchor", "piece", "row", "place", "cores"],
             )
 
     return find
@@ -172,26 +188,36 @@ def numbered(docs: DataFrame) -> DataFrame:
 def repeated_anchors(rows: DataFrame, length: int, gram: int, hot: int) -> DataFrame:
     """Stored occurrences of anchors that occur at least twice.
 
-    copies: occurrences of this piece; mixed: the anchor has other pieces as well;
-    first: this is the one occurrence that stands for its piece; hot: too many pieces.
+    copies: occurrences of this piece; wanted: this is the one occurrence that stands for its piece, and a core of it occurs
+    in another piece; hot: too many of these.
     """
     found = rows.select("row", "text").mapInArrow(
-        _anchor_batches(length, gram), "anchor long, piece long, row long, place long"
+        _anchor_batches(length, gram), "anchor long, piece long, row long, place long, cores long"
     )
     same_anchor, same_piece = Window.partitionBy("anchor"), Window.partitionBy("anchor", "piece")
-    order = same_piece.orderBy("row", "place")
     marked = (
         found.withColumn("all", F.count("*").over(same_anchor))
         .filter("all > 1")
         .withColumn("copies", F.count("*").over(same_piece))
-        .withColumn("first", F.row_number().over(order) == 1)
-        .withColumn("pieces", F.sum(F.col("first").cast("int")).over(same_anchor))
+        .withColumn("first", F.row_number().over(same_piece.orderBy("row", "place")) == 1)
+    )
+    shared = F.lit(False)
+    for k in range(3):
+        core = F.shiftrightunsigned("cores", 21 * k).bitwiseAND(F.lit((1 << 21) - 1))
+        same_core = Window.partitionBy("anchor", f"core{k}")
+        marked = marked.withColumn(f"core{k}", core).withColumn(
+            f"held{k}", F.sum(F.col("first").cast("int")).over(same_core)
+        )
+        shared = shared | ((F.col(f"core{k}") > 0) & (F.col(f"held{k}") > 1))
+    marked = marked.withColumn("first", F.col("first") & shared).withColumn(
+        "pieces", F.sum(F.col("first").cast("int")).over(same_anchor)
     )
     return stored(
         marked.select(
-            "row", "place", "anchor", "copies", "first",
-            (F.col("pieces") > 1).alias("mixed"), (F.col("pieces") > hot).alias("hot"),
-        ),
+            "row", "place", "anchor", "copies",
+            (F.col("first") & (F.col("pieces") > 1)).alias("wanted"),
+            (F.col("pieces") > hot).alias("hot"),
+        ).filter("copies > 1 OR wanted"),
         "anchors",
     )
 
@@ -235,21 +261,28 @@ def sorted_to_depth(text: np.ndarray, separators: np.ndarray, depth: int) -> np.
     key = np.zeros(n, np.int64)
     for k in range(7):  # symbols past a separator count as zero
         key = (key << 9) | np.where(k < ahead, padded[k : k + n], 0)
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     ended = ahead[order] < 7
+    tied = order[ended]
+    order[ended] = tied[np.lexsort((tied, key[tied]))]
     new = np.append(True, (np.diff(key[order]) != 0) | ended[1:] | ended[:-1])
-    rank = np.empty(n, np.int64)
-    rank[order] = np.cumsum(new) - 1
+    places = np.arange(n)
+    rank = np.empty(n, np.int64)  # the first place of a suffix's group
+    rank[order] = np.maximum.accumulate(np.where(new, places, 0))
     done = 7
     while done < depth:
-        beyond = np.append(rank[done:], np.zeros(min(done, n), np.int64))[:n]
-        key = rank * n + beyond
-        order = np.argsort(key, kind="stable")
-        new = np.append(True, np.diff(key[order]) != 0)
-        rank[order] = np.cumsum(new) - 1
-        done *= 2
-        if new.all():
+        open_ = places[~(new & np.append(new[1:], True))]  # places in groups of several
+        if not len(open_):
             break
+        held = order[open_]
+        key = rank[held] * n + rank[np.minimum(held + done, n - 1)]
+        sort = np.argsort(key)
+        held, key = held[sort], key[sort]
+        order[open_] = held
+        fresh = np.append(True, np.diff(key) != 0)
+        new[open_] = fresh
+        rank[held] = np.maximum.accumulate(np.where(fresh, open_, 0))
+        done *= 2
     return order
 
 
@@ -398,7 +431,7 @@ def repeated_spans(
         F.greatest(F.col("place") - (length - gram), F.lit(0)).alias("low"),
         (F.col("place") + length).alias("high"),
     )
-    wanted = marks.filter("mixed AND first").groupBy("row").agg(
+    wanted = marks.filter("wanted").groupBy("row").agg(
         F.collect_list(F.struct("place", "anchor", "copies", "hot")).alias("marks")
     )
     pieces = stored(
