@@ -44,8 +44,8 @@ from tripmart.llm.common import stored, text_chunks
 
 LENGTH = 200
 GRAM = 64
-HOT_PIECES = 4000
-BLOCK_BYTES = 1_500_000
+HOT_PIECES = 1000
+BLOCK_BYTES = 200_000
 SEGMENT = 1 << 20
 
 
@@ -201,20 +201,23 @@ def repeated_anchors(rows: DataFrame, length: int, gram: int, hot: int) -> DataF
         .withColumn("copies", F.count("*").over(same_piece))
         .withColumn("first", F.row_number().over(same_piece.orderBy("row", "place")) == 1)
     )
-    shared = F.lit(False)
+    zones_shared = F.lit(0)
     for k in range(3):
         core = F.shiftrightunsigned("cores", 21 * k).bitwiseAND(F.lit((1 << 21) - 1))
         same_core = Window.partitionBy("anchor", f"core{k}")
         marked = marked.withColumn(f"core{k}", core).withColumn(
             f"held{k}", F.sum(F.col("first").cast("int")).over(same_core)
         )
-        shared = shared | ((F.col(f"core{k}") > 0) & (F.col(f"held{k}") > 1))
-    marked = marked.withColumn("first", F.col("first") & shared).withColumn(
-        "pieces", F.sum(F.col("first").cast("int")).over(same_anchor)
+        shared = (F.col(f"core{k}") > 0) & (F.col(f"held{k}") > 1)
+        zones_shared = zones_shared + F.when(shared, 4 >> k).otherwise(0)
+    marked = (
+        marked.withColumn("zones", zones_shared)
+        .withColumn("first", F.col("first") & (F.col("zones") > 0))
+        .withColumn("pieces", F.sum(F.col("first").cast("int")).over(same_anchor))
     )
     return stored(
         marked.select(
-            "row", "place", "anchor", "copies",
+            "row", "place", "anchor", "copies", "zones",
             (F.col("first") & (F.col("pieces") > 1)).alias("wanted"),
             (F.col("pieces") > hot).alias("hot"),
         ).filter("copies > 1 OR wanted"),
@@ -222,13 +225,13 @@ def repeated_anchors(rows: DataFrame, length: int, gram: int, hot: int) -> DataF
     )
 
 
-PIECES = "anchor long, row long, place long, single boolean, hot boolean, before int, bytes binary"
+PIECES = "anchor long, row long, place long, single boolean, hot boolean, zones int, before int, bytes binary"
 
 
 def _piece_batches(length: int, gram: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, held in text_chunks(batches):
-            out: list[list] = [[] for _ in range(7)]
+            out: list[list] = [[] for _ in range(8)]
             for row, marks, text in zip(
                 batch.column(0).to_pylist(), batch.column(1).to_pylist(), held, strict=True
             ):
@@ -238,13 +241,17 @@ def _piece_batches(length: int, gram: int):
                     low = max(0, place - length + gram)
                     piece = data[low : place + length]
                     if len(piece) >= length:
-                        values = (mark["anchor"], row, place, mark["copies"] == 1, mark["hot"], place - low, piece)
+                        values = (
+                            mark["anchor"], row, place, mark["copies"] == 1, mark["hot"],
+                            mark["zones"], place - low, piece,
+                        )
                         for column, value in zip(out, values, strict=True):
                             column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.int32(), pa.binary())
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_())
+            kinds += (pa.int32(), pa.int32(), pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(out, kinds, strict=True)],
-                names=["anchor", "row", "place", "single", "hot", "before", "bytes"],
+                names=["anchor", "row", "place", "single", "hot", "zones", "before", "bytes"],
             )
 
     return cut
@@ -394,28 +401,30 @@ def _block_batches(length: int, limit: int):
     return blocks
 
 
-def _string_batches(length: int):
-    """Every string of the pieces by anchor, distance and two hashes."""
+def _string_batches(length: int, gram: int):
+    """The pieces' strings with a shared core, by anchor, distance and two hashes."""
+    limits = [(length - high, -low) for low, high in zones(length, gram)]  # distances, far to near
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, second = RollingHash(3), RollingHash(4)
         for batch in batches:
+            parts = []
             for piece in batch.to_pylist():
                 text = np.frombuffer(piece["bytes"], np.uint8)
-                one, two = (h.grams(h.sums(text), length).view(np.int64) for h in (first, second))
+                start = np.arange(len(text) - length + 1)
+                offset = start - piece["before"]
+                wanted = np.zeros(len(start), bool)
+                for k, bounds in enumerate(limits):
+                    if piece["zones"] & (1 << k):
+                        wanted |= (-offset >= min(bounds)) & (-offset <= max(bounds))
+                one, two = (h.grams(h.sums(text), length)[wanted].view(np.int64) for h in (first, second))
                 count = len(one)
-                start = np.arange(count) + piece["place"] - piece["before"]
+                same = (np.full(count, piece[name]) for name in ("anchor", "row", "single"))
+                parts.append((*same, offset[wanted], start[wanted] + piece["place"] - piece["before"], one, two))
+            if parts:
+                columns = [pa.array(np.concatenate(column)) for column in zip(*parts, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(count, piece["anchor"])),
-                        pa.array(start - piece["place"]),
-                        pa.array(one),
-                        pa.array(two),
-                        pa.array(np.full(count, piece["row"])),
-                        pa.array(start),
-                        pa.array(np.full(count, piece["single"])),
-                    ],
-                    names=["anchor", "offset", "one", "two", "row", "low", "single"],
+                    columns, names=["anchor", "row", "single", "offset", "low", "one", "two"]
                 )
 
     return strings
@@ -432,7 +441,7 @@ def repeated_spans(
         (F.col("place") + length).alias("high"),
     )
     wanted = marks.filter("wanted").groupBy("row").agg(
-        F.collect_list(F.struct("place", "anchor", "copies", "hot")).alias("marks")
+        F.collect_list(F.struct("place", "anchor", "copies", "hot", "zones")).alias("marks")
     )
     pieces = stored(
         wanted.join(rows, "row").select("row", "marks", "text").mapInArrow(_piece_batches(length, gram), PIECES),
@@ -449,8 +458,8 @@ def repeated_spans(
     strings = (
         pieces.filter("hot")
         .mapInArrow(
-            _string_batches(length),
-            "anchor long, offset long, one long, two long, row long, low long, single boolean",
+            _string_batches(length, gram),
+            "anchor long, row long, single boolean, offset long, low long, one long, two long",
         )
         .withColumn("places", F.count("*").over(same))
         .filter("places > 1 AND single")
