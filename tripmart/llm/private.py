@@ -35,7 +35,7 @@ PATTERNS = {
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?!-?\d)",
     "us_phone": r"(?<!\d)(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)",
     "phone": r"\+[2-9]\d{0,2}(?:[ .-]?\(?\d{2,4}\)?){2,5}(?!\d)",
-    "card": r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![ -]?\d)",
+    "card": r"(?<!\d)(?:\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?!\d)",
 }
 ANY = "|".join(f"(?:{pattern})" for pattern in PATTERNS.values())
 
