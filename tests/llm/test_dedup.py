@@ -11,7 +11,7 @@ import xxhash
 from tripmart.llm import exact, simhash, suffixes
 from tripmart.llm.components import components
 
-SCHEMA = "doc_id long, text string, digest string, row long, llm_key string"
+SCHEMA = "doc_id long, text string, digest string, row long, own_key string"
 
 
 def table(spark, texts):
@@ -61,7 +61,9 @@ def test_drop_copies_keeps_columns_and_one_row(spark):
     docs = table(spark, corpus())
     kept = exact.drop_copies(docs)
     assert kept.columns == docs.columns
-    texts = [lowered(row.text) for row in kept.collect()]
+    rows = kept.collect()
+    assert {row.own_key for row in rows} == {"y"}
+    texts = [lowered(row.text) for row in rows]
     assert sorted(texts) == sorted({lowered(text) for _, text in corpus()})
 
 

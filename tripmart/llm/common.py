@@ -50,6 +50,14 @@ def texts(docs: DataFrame) -> DataFrame:
     )
 
 
+def fresh(table: DataFrame, name: str) -> str:
+    """The name, lengthened until no column of the table has it."""
+    taken = {column.lower() for column in table.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def fold(doc_id: str | Column, parts: int) -> Column:
     """crc32 of the id's text modulo parts; null for a null id."""
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id) % parts

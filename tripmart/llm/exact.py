@@ -17,10 +17,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import stored
+from tripmart.llm.common import fresh, stored
 
 COUNTERS = 1024
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -120,22 +120,21 @@ def drop_copies(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     Rows are found again by doc_id and digest; repeats of both are cut to one.
     """
     groups = stored(exact_groups(docs, counters), "groups")
-    key = F.struct(
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"),
-        F.col("digest"),
-    )
+    key, own_kept, rows = (fresh(docs, name) for name in ("own_key", "own_kept", "own_rows"))
+
+    def identity(doc_id: Column, digest: Column) -> Column:
+        return F.struct(F.coalesce(doc_id.cast("string"), F.lit("")).alias("id"), digest.alias("digest"))
+
     per_key = (
         groups.filter(F.col("group_size") > 1)
-        .groupBy(key.alias("llm_key"))
-        .agg(F.max("kept").alias("llm_kept"), F.count("*").alias("llm_rows"))
+        .groupBy(identity(F.col("doc_id"), F.col("digest")).alias(key))
+        .agg(F.max("kept").alias(own_kept), F.count("*").alias(rows))
     )
     keyed = docs.withColumn(
-        "llm_key",
-        F.struct(
-            F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")).alias("id"),
-            normalised_digest("text").alias("digest"),
-        ),
-    ).join(per_key, "llm_key", "left")
-    once = keyed.filter(F.col("llm_kept") & (F.col("llm_rows") > 1)).dropDuplicates(["llm_key"])
-    single = keyed.filter(F.coalesce(F.col("llm_kept"), F.lit(True)) & (F.coalesce("llm_rows", F.lit(1)) == 1))
+        key, identity(F.col("doc_id").cast("long"), normalised_digest("text"))
+    ).join(per_key, key, "left")
+    single = keyed.filter(
+        F.coalesce(own_kept, F.lit(True)) & (F.coalesce(rows, F.lit(1)) == 1)
+    )
+    once = keyed.filter(F.col(own_kept) & (F.col(rows) > 1)).dropDuplicates([key])
     return single.unionByName(once).select(docs.columns)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import stored, text_chunks, texts
+from tripmart.llm.common import fresh, stored, text_chunks, texts
 from tripmart.llm.components import components
 from tripmart.llm.exact import UPPER
 
@@ -182,13 +182,14 @@ def drop_near_copies(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
 
     Documents without an id cannot be told apart from one another and stay.
     """
+    own = fresh(docs, "own_dropped")
     dropped = (
         near_components(docs, chunk)
         .filter(F.col("doc_id") != F.col("component_id"))
-        .select(F.col("doc_id").alias("llm_dropped"))
+        .select(F.col("doc_id").alias(own))
         .distinct()
     )
     kept = docs.join(
-        stored(dropped, "dropped"), docs["doc_id"].cast("long") == F.col("llm_dropped"), "left_anti"
+        stored(dropped, "dropped"), docs["doc_id"].cast("long") == F.col(own), "left_anti"
     )
     return kept.select(docs.columns)
