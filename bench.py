@@ -18,12 +18,13 @@ import time
 from pathlib import Path
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from tripmart.plans import catalog, report  # noqa: E402
 from tripmart.plans.trip_view import nation_zones, order_line_trips  # noqa: E402
-from tripmart.sources.months import month_spine  # noqa: E402
+from tripmart.sources.months import spine_between  # noqa: E402
 
 HEADLINE = [
     "common_metrics",
@@ -70,8 +71,12 @@ def run_report(spark: SparkSession, folder: str) -> None:
     """The whole report job, written to the shared folder if one is configured."""
     parent = spark.conf.get("spark.checkpoint.dir", None)
     output = f"{parent}/bench-{time.time_ns()}" if parent else tempfile.mkdtemp(prefix="run-")
-    spine = month_spine(spark, (1995, 1), (2001, 11))
     trips = order_line_trips(spark, folder)
+    month = F.make_date("source_year", "source_month", F.lit(1))
+    bounds = order_line_trips(spark, folder, located=False).agg(
+        F.min(month).alias("first_month"), F.max(month).alias("last_month")
+    )
+    spine = spine_between(bounds)
     report.build_report(spark, trips, nation_zones(spark, folder), output, spine, (1998, 1))
 
 

@@ -1,6 +1,6 @@
 import pytest
 
-from tests.session import local_session
+from tools.session import local_session
 
 
 @pytest.fixture(scope="session")

@@ -22,7 +22,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 from pyspark.sql import DataFrame  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from tests.session import local_session  # noqa: E402
+from tools.session import local_session  # noqa: E402
 from tripmart.contract import DEFAULT  # noqa: E402
 from tripmart.operators import scale  # noqa: E402
 from tripmart.operators.prepare import prepare  # noqa: E402

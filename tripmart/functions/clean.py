@@ -37,10 +37,19 @@ def as_bigint(df: DataFrame, name: str) -> Column:
 
 
 def as_wall_clock(df: DataFrame, name: str) -> Column:
-    """TIMESTAMP_NTZ: trips carry local wall-clock time, never an instant."""
+    """TIMESTAMP_NTZ: trips carry local wall-clock time, never an instant.
+
+    A column stored as instants holds the wall clock in UTC; the session's zone
+    takes no part.
+    """
     column = F.col(name)
-    if isinstance(df.schema[name].dataType, T.TimestampNTZType):
+    dtype = df.schema[name].dataType
+    if isinstance(dtype, T.TimestampNTZType):
         return column
+    if isinstance(dtype, T.TimestampType):
+        seconds = F.unix_micros(column).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")
+        since = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
+        return F.lit("1970-01-01").cast("timestamp_ntz") + since
     return column.try_cast("timestamp_ntz")
 
 

@@ -17,11 +17,15 @@ _SLICES_PER_OCTAVE = 4096
 def fare_histogram(cells: DataFrame, keys: list[str]) -> DataFrame:
     """Positive fares as (keys, fare_amount, trips): a mergeable median state.
 
-    A cell that counts no fare falls into a group without trips, dropped after
+    Takes cells of single trips: the sum of several fares is no fare, so a cell
+    that counts more than one raises an error.  A cell that counts no fare falls into a group without trips, dropped after
     the aggregation.
     """
+    fare = F.when(
+        F.col("fare_count") > 1, F.raise_error(F.lit("a fare histogram needs cells of single trips"))
+    ).otherwise(F.col("fare_sum"))
     return (
-        cells.groupBy(*keys, F.col("fare_sum").alias("fare_amount"))
+        cells.groupBy(*keys, fare.alias("fare_amount"))
         .agg(F.sum("fare_count").alias("trips"))
         .filter(F.col("trips") > 0)
     )
@@ -66,9 +70,9 @@ def weighted_median(
         .filter((F.col("before") < F.col("high_rank")) & (F.col("reached") >= F.col("low_rank")))
         .drop("reached")
     )
-    # At most two slices per key qualify, so the broadcast side is bounded by
-    # twice the number of keys.
-    candidates = sliced.join(F.broadcast(middle_slices), [key, "slice"])
+    # Two rows per key at most; whether that is small enough to broadcast is left
+    # to the sizes seen at run time.
+    candidates = sliced.join(middle_slices, [key, "slice"])
     within = (
         Window.partitionBy(key, "slice")
         .orderBy(value)

@@ -162,7 +162,7 @@ def _pair(
 ) -> DataFrame | None:
     """Both sides' values per metric; an absent side or metric gives nulls.
 
-    A side holds at most one row per metric.  Stacking and grouping does what a
+    A side holds at most one row per metric; more raise an error.  Stacking and grouping does what a
     full outer join would, also where the metric is a constant, which would make
     that join a nested loop.
     """
@@ -177,12 +177,17 @@ def _pair(
     known = [f"{prefix}_{name}" for prefix in ("left", "right") for name in values]
     return both.groupBy("metric").agg(
         *[
-            (F.max(name) if name in both.columns else F.lit(None)).alias(name)
+            (_only_value(name) if name in both.columns else F.lit(None)).alias(name)
             for name in known
         ]
     )
 
 
+def _only_value(name: str) -> Column:
+    repeated = F.raise_error(F.lit(f"more than one {name} for a metric"))
+    return F.when(F.count(name) > 1, repeated).otherwise(F.max(name))
+
+
 def _report(
     table: DataFrame,
     left: Column,

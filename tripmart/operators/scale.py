@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmart.contract import DEFAULT, TripContract
@@ -36,22 +36,29 @@ def scale_sweep(
     spine: DataFrame,
     contract: TripContract = DEFAULT,
     label_format: str | None = None,
+    whole_span: bool = False,
 ) -> DataFrame:
     """For each scale N: valid rows and top zone of the first N spine months.
 
     Each month is aggregated once.  A month row is then copied to every scale it
     belongs to, which needs no range join: ``month_index`` tells the scales.
     A scale that is missing a month is SKIPPED and names the first absent one.
-    Same-named locations compete separately, as in ``zone_demand_by_id``.
+    With ``whole_span`` all months of the spine are one more scale, however many
+    they are.  Same-named locations compete separately, as in ``zone_demand_by_id``.
     """
     scales = F.array(*[F.lit(scale) for scale in contract.scales])
+    if whole_span:
+        scales = F.array_union(scales, F.array("span"))
     reach = F.filter(scales, lambda scale: scale >= F.col("month_index"))
     file_name = F.format_string(
         label_format or contract.period_file_name, "source_year", "source_month"
     )
     by_location = merge_cells(cells, [*MONTH_KEYS, "PULocationID"], ["trip_count"])
     # The spine comes first so that absent months stay visible.
-    months = spine.filter(F.col("month_index") <= max(contract.scales)).join(
+    # A spine has a row per month, so its one window is small.
+    span = F.max("month_index").over(Window.partitionBy(F.lit(0)))
+    numbered = spine.withColumn("span", span if whole_span else F.lit(max(contract.scales)))
+    months = numbered.filter(F.col("month_index") <= F.greatest("span", F.lit(max(contract.scales)))).join(
         by_location.withColumn("observed", F.lit(True)), MONTH_KEYS, "left"
     )
     month_keys = ["month_index", "month", "file"]
@@ -66,6 +73,7 @@ def scale_sweep(
         .agg(
             F.coalesce(F.sum("trip_count"), F.lit(0)).alias("trip_count"),
             F.max("observed").alias("observed"),
+            F.max(F.col("months") == F.col("span")).alias("is_whole"),
             (F.grouping("month_index") == 0).alias("is_month"),
         )
     )
@@ -84,6 +92,7 @@ def scale_sweep(
         .agg(
             F.sum(F.when(is_month, F.col("trip_count"))).alias("valid_rows"),
             F.count_if(is_month & observed).alias("files_read"),
+            F.max("is_whole").alias("is_whole"),
             F.min(F.when(is_month, month_row)).alias("first_month"),
             F.max(F.when(is_month, month_row)).alias("last_month"),
             F.min(F.when(is_month & ~observed, month_row)).alias("absent"),
@@ -91,7 +100,7 @@ def scale_sweep(
         )
     )
     complete = F.col("files_read") == F.col("months")
-    whole = F.col("months") == F.lit(max(contract.scales))
+    whole = F.col("is_whole")
     span = F.concat_ws(WHOLE_SPAN, "first_month.month", "last_month.month")
     prefix = F.when(
         complete,

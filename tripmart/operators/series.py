@@ -27,10 +27,10 @@ def daytype_hourly(hourly: DataFrame, contract: TripContract = DEFAULT) -> DataF
     return pivoted.agg(F.first("avg_daily_trips")).orderBy("pickup_hour")
 
 
-def month_by_year(monthly: DataFrame, value: str, years: list[int]) -> DataFrame:
+def month_by_year(monthly: DataFrame, value: str, years: list[int] | None = None) -> DataFrame:
     """One monthly value as a line per year: rows are months, columns years.
 
-    The years are given, so pivoting needs no extra job to find them.
+    Without given years a job finds those of the monthly table.
     """
     pivoted = monthly.groupBy("pickup_month").pivot("pickup_year", years)
     return pivoted.agg(F.first(value)).orderBy("pickup_month")

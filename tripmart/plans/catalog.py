@@ -37,8 +37,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 PERIOD = (1998, 1)
 NO_PERIOD = (2010, 1)
-YEARS = list(range(1995, 2002))
-SCALES = replace(DEFAULT, scales=(*DEFAULT.scales, 84))
 OTHER_SIDE_DROPS = 24
 #: Amounts have up to seven decimals, so sums rounded there are never near a tie.
 SUM_DIGITS = 7
@@ -96,7 +94,7 @@ def scan_trips(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def source_period(spark: SparkSession, folder: str) -> DataFrame:
-    trips = order_line_trips(spark, folder)
+    trips = order_line_trips(spark, folder, located=False)
     names = trips.select(
         F.format_string(DEFAULT.period_file_name, "source_year", "source_month").alias("file_name")
     )
@@ -138,7 +136,8 @@ def prepared_trips(spark: SparkSession, folder: str) -> DataFrame:
 
 def _label_counts(value: str, label: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        counts = _prepared(spark, folder).groupBy(value, label)
+        trips = prepare(order_line_trips(spark, folder, located=False))
+        counts = trips.groupBy(value, label)
         return counts.agg(F.count("*").alias("raw_rows"))
 
     return query
@@ -246,8 +245,8 @@ def scale_sweep(spark: SparkSession, folder: str) -> DataFrame:
         cells,
         nation_zones(spark, folder),
         month_spine(spark, folder),
-        SCALES,
         label_format="%d-%02d",
+        whole_span=True,
     )
 
 
@@ -446,15 +445,15 @@ QUERIES: dict[str, Query] = {
         lambda cells: series.daytype_hourly(daytype.weekday_weekend_hourly(cells))
     ),
     "series_month_volume": _on_monthly(
-        lambda table: series.month_by_year(table, "trip_count", YEARS)
+        lambda table: series.month_by_year(table, "trip_count")
     ),
     "series_month_avg_daily": _on_monthly(
         lambda table: series.month_by_year(
-            monthly.with_daily_average(table), "avg_daily_trips", YEARS
+            monthly.with_daily_average(table), "avg_daily_trips"
         )
     ),
     "series_month_fare": _on_monthly(
-        lambda table: series.month_by_year(table, "avg_valid_fare_amount", YEARS)
+        lambda table: series.month_by_year(table, "avg_valid_fare_amount")
     ),
     "series_cbd_share": _on_monthly(series.cbd_share),
     "series_scale": lambda spark, folder: series.successful_scales(scale_sweep(spark, folder)),

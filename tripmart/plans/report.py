@@ -2,8 +2,10 @@
 
 Trips are scanned three times, each scan reading only its columns, to write
 three rollups; every table of the report is then merged from those.  The rollups
-are partitioned by source month, so a rerun of some months replaces only theirs
-and a lost executor costs a task, not the job.
+are partitioned by source month, so a rerun of some months replaces only theirs.
+Tables are merged from the requested months alone, whatever else is stored.  A month
+whose file is missing fails the job when its path is read; a file without rows gives
+a month of zeros.
 
     spark-submit -m tripmart.plans.report --trips DIR --zones CSV --output DIR \\
         --first 2024-01 --last 2025-12 [--slice 2024-01]
@@ -15,14 +17,15 @@ import argparse
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripmart.contract import DEFAULT, TripContract
 from tripmart.operators import daytype, demand, fares, monthly, passengers, quality, rollup, scale
 from tripmart.operators.cells import trip_cells
 from tripmart.operators.prepare import in_period, prepare
 from tripmart.operators.zones import top_zones, zone_demand
-from tripmart.sources.months import MONTH_KEYS, month_spine, require_months
+from tripmart.sources.months import MONTH_KEYS, month_spine
 from tripmart.sources.tables import write_table
 from tripmart.sources.trips import monthly_paths, read_months
 from tripmart.sources.zones import assert_unique_key, read_zones
@@ -34,10 +37,15 @@ ROLLUPS = {"trip": ["grain", *MONTH_KEYS], "location": MONTH_KEYS, "fare": MONTH
 
 
 def write_rollups(
-    trips: DataFrame | list[DataFrame], path: str, contract: TripContract = DEFAULT
+    trips: DataFrame | list[DataFrame],
+    path: str,
+    contract: TripContract = DEFAULT,
+    months: DataFrame | None = None,
 ) -> None:
     """Write the rollups of all months in ``trips``, replacing those months only.
 
+    Expected ``months`` are replaced too where they have no row in ``trips``.
+
     Given month by month, each month is aggregated next to its scan and only
     rollup rows meet in the union; otherwise every trip would pass through it.
     Parts of one month may come separately: their cells add up when read.
@@ -54,6 +62,12 @@ def write_rollups(
         "fare": _union([rollup.fare_rollup(part) for part in cells]),
     }
 
+    if months is not None:
+        rollups = {
+            name: table.unionByName(_empty_months(table, months))
+            for name, table in rollups.items()
+        }
+
     def write(name: str) -> None:
         (
             rollups[name]
@@ -77,8 +91,35 @@ def _run_all(job, names) -> None:
         list(pool.map(job, names))
 
 
-def read_rollups(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{path}/{name}") for name in ROLLUPS}
+def read_rollups(
+    spark: SparkSession, path: str, months: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """The stored rollups, of the expected months only where these are given."""
+    rollups = {name: spark.read.parquet(f"{path}/{name}") for name in ROLLUPS}
+    rollups["fare"] = rollups["fare"].filter("trips > 0")
+    if months is None:
+        return rollups
+    wanted = months.select(*MONTH_KEYS)
+    return {name: table.join(wanted, MONTH_KEYS, "left_semi") for name, table in rollups.items()}
+
+
+def _empty_months(stored: DataFrame, months: DataFrame) -> DataFrame:
+    """A row without trips for each expected month, in the shape of a rollup.
+
+    It makes a rerun replace the stored month also where the month now has no
+    row, and keeps a month that was read apart from one that was not.
+    """
+    grains = [F.lit(grain) for grain in (rollup.DAY_GRAIN, rollup.CATEGORY_GRAIN)]
+
+    def column(name: str, dtype: str) -> Column:
+        if name in MONTH_KEYS:
+            return F.col(name).cast(dtype)
+        if name == "grain":
+            return F.explode(F.array(*grains))
+        is_sum = dtype in ("bigint", "double") and name not in ("fare_amount", "PULocationID")
+        return F.lit(0 if is_sum else None).cast(dtype)
+
+    return months.select(*[column(*field).alias(field[0]) for field in stored.dtypes])
 
 
 def report_tables(
@@ -161,10 +202,8 @@ def build_report(
 ) -> None:
     """Rollups, all report tables and, when asked for, one period's slice."""
     assert_unique_key(zones)
-    write_rollups(trips, f"{output}/rollups", contract)
-    rollups = read_rollups(spark, f"{output}/rollups")
-    if months is not None:
-        require_months(months, rollups["location"])
+    write_rollups(trips, f"{output}/rollups", contract, months)
+    rollups = read_rollups(spark, f"{output}/rollups", months)
     write_tables(report_tables(rollups, zones, months, contract), f"{output}/tables", fmt)
     if slice_period is not None:
         year, month = slice_period

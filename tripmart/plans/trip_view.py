@@ -31,19 +31,26 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def order_line_trips(
-    spark: SparkSession, folder: str, first: str | None = None, end: str | None = None
+    spark: SparkSession,
+    folder: str,
+    first: str | None = None,
+    end: str | None = None,
+    located: bool = True,
 ) -> DataFrame:
     """Trip rows with source_year / source_month.
 
     ``first`` (inclusive) and ``end`` (exclusive) limit the ship dates, the way
     a caller of monthly files passes only the months it needs; the range reaches
-    the Parquet scan.
+    the Parquet scan.  ``located`` false leaves the pickup location null and spares
+    the joins that find it.
     """
     lines = _table(spark, folder, "lineitem")
     if first is not None:
         lines = lines.filter(F.col("l_shipdate") >= F.lit(first).cast("timestamp_ntz"))
     if end is not None:
         lines = lines.filter(F.col("l_shipdate") < F.lit(end).cast("timestamp_ntz"))
+    if not located:
+        return _trips(lines.withColumn("c_nationkey", F.lit(None).cast("int")))
     # Orders meet their customers first: then the lines, the largest table, are
     # joined (and where nothing fits a broadcast, shuffled) once, not twice.
     orders = _table(spark, folder, "orders")
@@ -52,6 +59,10 @@ def order_line_trips(
     joined = lines.join(
         buyers.select("o_orderkey", "c_nationkey"), F.col("l_orderkey") == F.col("o_orderkey"), "left"
     )
+    return _trips(joined)
+
+
+def _trips(joined: DataFrame) -> DataFrame:
     minutes = (
         "(CASE WHEN l_suppkey % 50 = 0 THEN 1440 ELSE 0 END"
         " + (l_orderkey * 37 + l_partkey * 11 + l_linenumber * 101) % 1440)"
