@@ -229,6 +229,9 @@ PIECES = "anchor long, row long, place long, single boolean, hot boolean, zones
 
 
 def _piece_batches(length: int, gram: int):
+    """The bytes that strings of the marked zones can reach."""
+    limits = [(-low, length - high) for low, high in zones(length, gram)]
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, held in text_chunks(batches):
             out: list[list] = [[] for _ in range(8)]
@@ -238,8 +241,9 @@ def _piece_batches(length: int, gram: int):
                 data = text.encode("utf-8", "surrogatepass")
                 for mark in marks:
                     place = mark["place"]
-                    low = max(0, place - length + gram)
-                    piece = data[low : place + length]
+                    used = [limits[k] for k in range(3) if mark["zones"] & (1 << k)]
+                    low = max(0, place - max(far for _, far in used))
+                    piece = data[low : place + length - min(near for near, _ in used)]
                     if len(piece) >= length:
                         values = (
                             mark["anchor"], row, place, mark["copies"] == 1, mark["hot"],
