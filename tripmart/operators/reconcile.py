@@ -28,7 +28,7 @@ ALIASES = {
     "hour_trips": ("trip_count", "trips", "total_trips"),
     "top_zone": ("top_pickup_zone", "pickup_Zone", "pickup_zone"),
     # A one-row summary's trip_count means all trips, so it is no alias here.
-    "top_zone_trips": ("top_pickup_zone_trips",),
+    "top_zone_trips": ("top_pickup_zone_trips", "trips"),
     "zone": ("pickup_Zone", "pickup_zone", "Zone"),
     "zone_trips": ("trip_count", "trips"),
     "distance_band": ("distance_band", "band"),
@@ -95,25 +95,31 @@ def resolve_required(table: DataFrame, *logicals: str) -> DataFrame:
     return resolved
 
 
-def period_predicate(table: DataFrame, year: int, month: int) -> Column:
+def period_predicate(columns: dict[str, Column], year: int, month: int) -> Column:
     """Rows of one period in any of the three period layouts, else no rows.
 
     ``year`` + ``month`` numbers, ``pickup_year`` + ``pickup_month`` numbers, or
     a ``month`` text such as 2024-01.
     """
     for year_name, month_name in (("year", "month"), ("pickup_year", "pickup_month")):
-        if year_name in table.columns and month_name in table.columns:
-            same_year = F.col(year_name).cast("string").try_cast("double") == F.lit(float(year))
-            same_month = F.col(month_name).cast("string").try_cast("double") == F.lit(float(month))
+        if year_name in columns and month_name in columns:
+            same_year = columns[year_name].cast("string").try_cast("double") == F.lit(float(year))
+            same_month = columns[month_name].cast("string").try_cast("double") == F.lit(float(month))
             return F.coalesce(same_year & same_month, F.lit(False))
-    if "month" in table.columns:
-        text = F.trim(F.col("month").cast("string"))
+    if "month" in columns:
+        text = F.trim(columns["month"].cast("string"))
         return F.coalesce(text == F.lit("%d-%02d" % (year, month)), F.lit(False))
     return F.lit(False)
 
 
+def has_period(table: DataFrame) -> bool:
+    layouts = ({"month"}, {"pickup_year", "pickup_month"})
+    return any(layout <= set(table.columns) for layout in layouts)
+
+
 def period_rows(table: DataFrame, year: int, month: int) -> DataFrame:
-    return table.filter(period_predicate(table, year, month))
+    columns = {name: F.col(name) for name in table.columns}
+    return table.filter(period_predicate(columns, year, month))
 
 
 # ---- one row per metric and side ---------------------------------------------
@@ -213,8 +219,11 @@ def _report(
 def compare_counts(left: DataFrame | None, right: DataFrame | None) -> DataFrame | None:
     """Exact comparison of counts keyed by metric: PASS, FAIL or PENDING."""
     both = _pair(left, right, ["valid_rows"])
-    if both is None:
-        return None
+    return both and counts_report(both)
+
+
+def counts_report(both: DataFrame) -> DataFrame:
+    """The same for counts already side by side: metric, left_valid_rows, right_valid_rows."""
     a, b = F.col("left_valid_rows").cast("bigint"), F.col("right_valid_rows").cast("bigint")
     status = F.when(a.isNull() | b.isNull(), PENDING).when(a == b, PASS).otherwise(FAIL)
     return _report(

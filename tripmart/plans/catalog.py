@@ -7,9 +7,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.contract import DEFAULT
@@ -28,16 +27,17 @@ from tripmart.operators import (
 )
 from tripmart.operators.cells import occupied, trip_cells
 from tripmart.operators.prepare import in_period, picked_up_in, prepare, valid_trips
-from tripmart.plans.trip_view import nation_zones, order_line_trips
+from tripmart.plans.trip_view import nation_zones, order_line_trips, zone_rows
 from tripmart.sources import months
 from tripmart.sources.trips import period_columns, typed_trips
-from tripmart.sources.zones import dim_key_violations
+from tripmart.sources.zones import dim_key_violations, zone_dimension
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 PERIOD = (1998, 1)
 NO_PERIOD = (2010, 1)
-OTHER_SIDE_DROPS = 24
+#: The drop-off location that the other side of a reconciliation does not know.
+UNKNOWN_ON_OTHER_SIDE = 24
 #: Amounts have up to seven decimals, so sums rounded there are never near a tie.
 SUM_DIGITS = 7
 
@@ -103,17 +103,30 @@ def source_period(spark: SparkSession, folder: str) -> DataFrame:
     return periods.groupBy("source_year", "source_month").agg(F.count("*").alias("raw_rows"))
 
 
+def _observed_months(spark: SparkSession, folder: str) -> DataFrame:
+    trips = order_line_trips(spark, folder, located=False)
+    return trips.select(*months.MONTH_KEYS).distinct()
+
+
 def month_spine(spark: SparkSession, folder: str) -> DataFrame:
-    return months.spine_between(months.calendar_year_bounds(order_line_trips(spark, folder)))
+    return months.spine_between(months.calendar_year_bounds(_observed_months(spark, folder)))
 
 
 def missing_months(spark: SparkSession, folder: str) -> DataFrame:
-    spine = month_spine(spark, folder)
-    return months.missing_months(spine, order_line_trips(spark, folder)).select(spine.columns)
+    """Spine and anti join read one exchange of distinct months, so one scan."""
+    observed = _observed_months(spark, folder)
+    spine = months.spine_between(months.calendar_year_bounds(observed))
+    return months.missing_months(spine, observed).select(spine.columns)
+
+
+def zone_dim(spark: SparkSession, folder: str) -> DataFrame:
+    """The first row of each location among rows with planted repeats."""
+    return zone_dimension(zone_rows(spark, folder, repeats=True), "row_order")
 
 
 def zone_violations(spark: SparkSession, folder: str) -> DataFrame:
-    return dim_key_violations(nation_zones(spark, folder), "pickup_Zone")
+    """Repeated keys of the same rows before they are deduplicated."""
+    return dim_key_violations(zone_dimension(zone_rows(spark, folder, repeats=True)))
 
 
 def prepared_trips(spark: SparkSession, folder: str) -> DataFrame:
@@ -253,9 +266,22 @@ def scale_sweep(spark: SparkSession, folder: str) -> DataFrame:
 # ---- reconciliation ----------------------------------------------------------
 
 
+def _known_on_other_side() -> Column:
+    return F.coalesce("DOLocationID", F.lit(-1)) != UNKNOWN_ON_OTHER_SIDE
+
+
 def _right(prepared: DataFrame) -> DataFrame:
-    """The other result set: the same trips without one drop-off location."""
-    return prepared.filter(F.coalesce("DOLocationID", F.lit(-1)) != OTHER_SIDE_DROPS)
+    """The other result set: all the trips, but one drop-off location is not known there.
+
+    A trip without a drop-off location is not valid.
+    """
+    known = _known_on_other_side()
+    return prepared.withColumns(
+        {
+            "DOLocationID": F.when(known, F.col("DOLocationID")),
+            "structurally_valid": F.col("structurally_valid") & known,
+        }
+    )
 
 
 def _summary_side(prepared: DataFrame, zones: DataFrame) -> reconcile.Side:
@@ -283,27 +309,24 @@ def _period_sides(
 
 
 def period_select(spark: SparkSession, folder: str) -> DataFrame:
-    """One period picked from a table in each of the three period layouts."""
-    by_month = _quality(spark, folder).select(
-        "month", F.col("structurally_valid_rows").alias("valid_rows")
-    )
+    """One period picked from a table in each of the three period layouts, in one scan."""
     numbers = F.split("month", "-")
     layouts = {
-        "month text": by_month,
-        "pickup_year, pickup_month": by_month.select(
-            numbers[0].cast("int").alias("pickup_year"),
-            numbers[1].cast("int").alias("pickup_month"),
-            "valid_rows",
-        ),
-        "year, month": by_month.select(
-            numbers[0].alias("year"), numbers[1].alias("month"), "valid_rows"
-        ),
+        "month text": {"month": F.col("month")},
+        "pickup_year, pickup_month": {
+            "pickup_year": numbers[0].cast("int"),
+            "pickup_month": numbers[1].cast("int"),
+        },
+        "year, month": {"year": numbers[0], "month": numbers[1]},
     }
-    picked = [
-        reconcile.period_rows(table, *PERIOD).select(F.lit(name).alias("layout"), "valid_rows")
-        for name, table in layouts.items()
+    picks = [
+        F.when(reconcile.period_predicate(columns, *PERIOD), F.lit(name))
+        for name, columns in layouts.items()
     ]
-    return reduce(DataFrame.unionByName, picked)
+    return _quality(spark, folder).select(
+        F.explode(F.array_compact(F.array(*picks))).alias("layout"),
+        F.col("structurally_valid_rows").alias("valid_rows"),
+    )
 
 
 def resolve_columns(spark: SparkSession, folder: str) -> DataFrame:
@@ -324,17 +347,14 @@ def resolve_columns(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def reconcile_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Valid rows of every month on both sides."""
-    prepared = _prepared(spark, folder)
-
-    def counts(side: DataFrame) -> DataFrame:
-        by_month = monthly.monthly_comparison(trip_cells(side))
-        return by_month.select(
-            F.format_string("%d-%02d", "pickup_year", "pickup_month").alias("metric"),
-            F.col("trip_count").alias("valid_rows"),
-        )
-
-    return reconcile.compare_counts(counts(prepared), counts(_right(prepared)))
+    """Valid rows of every month on both sides, counted in one scan."""
+    valid = F.col("structurally_valid")
+    metric = F.format_string("%d-%02d", "source_year", "source_month").alias("metric")
+    both = prepare(order_line_trips(spark, folder)).groupBy(metric).agg(
+        F.count_if(valid).alias("left_valid_rows"),
+        F.count_if(valid & _known_on_other_side()).alias("right_valid_rows"),
+    )
+    return reconcile.counts_report(both)
 
 
 def _against_both(compare, side_of) -> Query:
@@ -389,7 +409,7 @@ QUERIES: dict[str, Query] = {
     "source_period": source_period,
     "month_spine": month_spine,
     "missing_months": missing_months,
-    "zone_dim": nation_zones,
+    "zone_dim": zone_dim,
     "dim_key_violations": zone_violations,
     "prepared_trips": prepared_trips,
     "distance_band": _label_counts("trip_distance", "distance_band"),

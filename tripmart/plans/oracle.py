@@ -345,8 +345,8 @@ FROM (SELECT printf('yellow_tripdata_%d-%02d.parquet', source_year, source_month
         ),
         "zone_dim": _with("SELECT * FROM zones"),
         "dim_key_violations": _with(
-            """SELECT "pickup_Zone", count(*) AS rows FROM zones
-GROUP BY ALL HAVING count(*) > 1"""
+            """SELECT n_nationkey::BIGINT AS "PULocationID", 2::BIGINT AS rows
+FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 3 = 0"""
         ),
         "prepared_trips": _with(
             """SELECT source_year, source_month, pickup_year, pickup_month, pickup_date, pickup_hour,

@@ -21,12 +21,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.contract import DEFAULT, TripContract
-from tripmart.operators import daytype, demand, fares, monthly, passengers, quality, rollup, scale
+from tripmart.operators import (
+    daytype,
+    demand,
+    fares,
+    monthly,
+    passengers,
+    quality,
+    rollup,
+    scale,
+    series,
+)
 from tripmart.operators.cells import trip_cells
 from tripmart.operators.prepare import in_period, prepare
 from tripmart.operators.zones import top_zones, zone_demand
 from tripmart.sources.months import MONTH_KEYS, month_spine
-from tripmart.sources.tables import write_table
+from tripmart.sources.tables import read_table, write_table
 from tripmart.sources.trips import monthly_paths, read_months
 from tripmart.sources.zones import assert_unique_key, read_zones
 
@@ -162,6 +172,27 @@ def report_tables(
     return tables
 
 
+def series_tables(
+    tables: dict[str, DataFrame], contract: TripContract = DEFAULT
+) -> dict[str, DataFrame]:
+    """The report's series, shaped for plotting, from its finished tables."""
+    daily = tables["monthly_avg_daily"]
+    found = {
+        "series_band_fares": series.band_fares(tables["distance_fare_summary"], contract),
+        "series_passengers": series.passenger_distribution(
+            tables["passenger_count_summary"], contract
+        ),
+        "series_daytype_hourly": series.daytype_hourly(tables["weekday_weekend_hourly"], contract),
+        "series_month_volume": series.month_by_year(daily, "trip_count"),
+        "series_month_avg_daily": series.month_by_year(daily, "avg_daily_trips"),
+        "series_month_fare": series.month_by_year(daily, "avg_valid_fare_amount"),
+        "series_cbd_share": series.cbd_share(tables["monthly_year_comparison"]),
+    }
+    if "scale_sweep" in tables:
+        found["series_scale"] = series.successful_scales(tables["scale_sweep"])
+    return found
+
+
 def slice_tables(
     rollups: dict[str, DataFrame],
     zones: DataFrame,
@@ -204,7 +235,14 @@ def build_report(
     assert_unique_key(zones)
     write_rollups(trips, f"{output}/rollups", contract, months)
     rollups = read_rollups(spark, f"{output}/rollups", months)
-    write_tables(report_tables(rollups, zones, months, contract), f"{output}/tables", fmt)
+    tables = report_tables(rollups, zones, months, contract)
+    write_tables(tables, f"{output}/tables", fmt)
+    # The series are read from the stored tables, not merged from the rollups again.
+    kept = {
+        name: read_table(spark, f"{output}/tables/{name}", table.schema, fmt)
+        for name, table in tables.items()
+    }
+    write_tables(series_tables(kept, contract), f"{output}/series", fmt)
     if slice_period is not None:
         year, month = slice_period
         tables = slice_tables(rollups, zones, year, month, contract)

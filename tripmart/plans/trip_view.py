@@ -97,15 +97,36 @@ def _trips(joined: DataFrame) -> DataFrame:
 
 
 def nation_zones(spark: SparkSession, folder: str) -> DataFrame:
-    """Zone dimension from nations and regions, with the awkward rows planted:
-    one zone without a borough, one without a name, two sharing a name."""
+    """Zone dimension from nations and regions; see :func:`zone_rows`."""
+    return zone_dimension(zone_rows(spark, folder))
+
+
+def zone_rows(spark: SparkSession, folder: str, repeats: bool = False) -> DataFrame:
+    """Zone rows as a file has them, with the awkward rows planted: one zone without
+    a borough, one without a name, two sharing a name.
+
+    With ``repeats`` every third location comes again under other texts, and each row has its
+    place in ``row_order``.
+    """
     nations = _table(spark, folder, "nation")
     regions = _table(spark, folder, "region")
-    rows = nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey")).selectExpr(
+    zones = nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey")).selectExpr(
         "cast(n_nationkey AS BIGINT) AS LocationID",
         "CASE WHEN n_nationkey = 23 THEN NULL ELSE r_name END AS Borough",
         "CASE WHEN n_nationkey = 24 THEN NULL WHEN n_nationkey = 10 THEN 'NATION_5'"
         " ELSE n_name END AS Zone",
         "concat('Zone ', n_regionkey) AS service_zone",
     )
-    return zone_dimension(rows)
+    if not repeats:
+        return zones
+    copies = F.when(F.col("LocationID") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(
+        F.array(F.lit(0))
+    )
+    return zones.withColumn("copy", F.explode(copies)).select(
+        "LocationID",
+        *[
+            F.when(F.col("copy") == 0, F.col(name)).otherwise(F.lit("repeated")).alias(name)
+            for name in ("Borough", "Zone", "service_zone")
+        ],
+        (F.col("copy") * 1000 + F.col("LocationID")).alias("row_order"),
+    )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,6 +104,15 @@ def _reader_widens(schema: T.StructType, contract: TripContract) -> bool:
     )
 
 
+def _footers(spark: SparkSession, path: str) -> list[tuple[str, T.StructType]]:
+    """Each file of a month with the schema in its footer (one file: the path itself)."""
+    month = spark.read.parquet(path)
+    files = month.inputFiles()
+    if len(files) < 2:
+        return [(path, month.schema)]
+    return [(file, spark.read.parquet(file).schema) for file in map(unquote, files)]
+
+
 def read_months(
     spark: SparkSession, paths: list[str], contract: TripContract = DEFAULT
 ) -> list[DataFrame]:
@@ -113,22 +123,29 @@ def read_months(
     removes the other months' scans from the plan; deriving the period from the
     file path of every row costs several times the rest of the scan.
 
-    Only footers are read here.  Files whose physical types the Parquet reader
+    Only footers are read here, of every file of a month that is a directory: one that
+    lacks a required column is an error, not a column of nulls.  Files whose physical types the Parquet reader
     can widen are read under the contract schema (so a column may be spelled in
     any case, and an optional one may be absent); other files are read as they
     are and converted column by column.
     """
     periods = [period_of(path, contract) for path in paths]
     with ThreadPoolExecutor(_FOOTER_READERS) as pool:
-        schemas = list(pool.map(lambda path: spark.read.parquet(path).schema, paths))
+        footers = list(pool.map(lambda path: _footers(spark, path), paths))
     members: dict[tuple[tuple[int, int], str], list[str]] = {}
     by_key: dict[str, T.StructType] = {}
-    for path, period, schema in zip(paths, periods, schemas, strict=True):
-        check_columns(schema.names, contract, path)
-        if _reader_widens(schema, contract):
-            schema = contract_schema(contract)
-        by_key[schema.json()] = schema
-        members.setdefault((period, schema.json()), []).append(path)
+    for path, period, files in zip(paths, periods, footers, strict=True):
+        read_as = {}
+        for file, schema in files:
+            check_columns(schema.names, contract, file)
+            if _reader_widens(schema, contract):
+                schema = contract_schema(contract)
+            by_key[schema.json()] = schema
+            read_as[file] = schema.json()
+        if len(set(read_as.values())) == 1:
+            read_as = {path: next(iter(read_as.values()))}
+        for file, key in read_as.items():
+            members.setdefault((period, key), []).append(file)
 
     scans = []
     for (period, key), files in members.items():
