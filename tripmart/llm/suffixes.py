@@ -264,36 +264,46 @@ def _piece_batches(length: int, gram: int):
 def sorted_to_depth(text: np.ndarray, separators: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes by their first ``depth`` symbols; text holds bytes + 1 and 0 at separators.
 
-    A separator is less than any byte and than the separators after it.
+    A separator is less than any byte and than the separators after it.  The first sort
+    takes as many symbols as a 63-bit key holds; each later one joins the ranks of three
+    neighbouring stretches (two in a text too long for that), so the depth triples.
     """
     n = len(text)
-    ahead = np.minimum(separators[np.searchsorted(separators, np.arange(n))] - np.arange(n), 7)
-    padded = np.append(text, np.zeros(7, text.dtype)).astype(np.int64)
+    codes = np.cumsum(np.bincount(text, minlength=257) > 0) - 1  # dense, in the same order
+    base = int(codes[-1]) + 1
+    width = 1
+    while base ** (width + 1) < 1 << 63:
+        width += 1
+    ahead = np.minimum(separators[np.searchsorted(separators, np.arange(n))] - np.arange(n), width)
+    padded = np.append(codes[text], np.zeros(width, np.int64))
     key = np.zeros(n, np.int64)
-    for k in range(7):  # symbols past a separator count as zero
-        key = (key << 9) | np.where(k < ahead, padded[k : k + n], 0)
+    for k in range(width):  # symbols past a separator count as zero
+        key = key * base + np.where(k < ahead, padded[k : k + n], 0)
     order = np.argsort(key)
-    ended = ahead[order] < 7
+    ended = ahead[order] < width
     tied = order[ended]
     order[ended] = tied[np.lexsort((tied, key[tied]))]
     new = np.append(True, (np.diff(key[order]) != 0) | ended[1:] | ended[:-1])
     places = np.arange(n)
     rank = np.empty(n, np.int64)  # the first place of a suffix's group
     rank[order] = np.maximum.accumulate(np.where(new, places, 0))
-    done = 7
+    done, stretches = width, 3 if n < 1 << 21 else 2
     while done < depth:
         open_ = places[~(new & np.append(new[1:], True))]  # places in groups of several
         if not len(open_):
             break
         held = order[open_]
-        key = rank[held] * n + rank[np.minimum(held + done, n - 1)]
-        sort = np.argsort(key)
+        # Ranks count only where all before them tie, and then no separator lies between.
+        key = rank[held]
+        for k in range(1, stretches):
+            key = key * n + rank[np.minimum(held + k * done, n - 1)]
+        sort = np.argsort(key, kind="stable")  # quick on keys already in order of groups
         held, key = held[sort], key[sort]
         order[open_] = held
         fresh = np.append(True, np.diff(key) != 0)
         new[open_] = fresh
         rank[held] = np.maximum.accumulate(np.where(fresh, open_, 0))
-        done *= 2
+        done *= stretches
     return order
 
 
@@ -306,11 +316,12 @@ def common_prefix_classes(text: np.ndarray, order: np.ndarray, pieces: int, leng
     """
     n = len(text)
     before = text[order - 1]  # the transform; the text ends in a separator, which wraps
-    step = np.empty(n, np.int64)
-    step[np.argsort(before, kind="stable")] = np.arange(n)
+    step = np.empty(n, np.int32)
+    step[np.argsort(before, kind="stable")] = np.arange(n, dtype=np.int32)
     parted = np.zeros(n + 1, bool)
     parted[: pieces + 1] = parted[n] = True
-    starts = np.searchsorted(text[order], np.arange(1, 258))
+    heads, owners = text[order], np.empty(n, np.int32)
+    starts = np.searchsorted(heads, np.arange(1, 258))
     low, high = starts[:-1], starts[1:]
     held = high > low
     low, high = low[held], high[held]
@@ -321,13 +332,15 @@ def common_prefix_classes(text: np.ndarray, order: np.ndarray, pieces: int, leng
         if not len(low):
             break
         sizes = high - low
-        owner = np.repeat(np.arange(len(low)), sizes)
-        at = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + low[owner]
+        owner = np.repeat(np.arange(len(low), dtype=np.int32), sizes)
+        shift = (low - np.cumsum(sizes) + sizes).astype(np.int32)
+        at = np.arange(len(owner), dtype=np.int32) + np.repeat(shift, sizes)
         inner = before[at] > 0  # nothing extends over a separator
         at, owner = at[inner], owner[inner]
-        target = step[at]
-        move = np.argsort(target, kind="stable")
-        target, owner, symbol = target[move], owner[move], before[at[move]]
+        target = step[at]  # all different, as the intervals of a level are disjoint
+        owners[target] = owner
+        target = np.sort(target)
+        owner, symbol = owners[target], heads[target]
         last = np.append((np.diff(target) != 1) | (np.diff(owner) != 0) | (np.diff(symbol) != 0), True)
         first = np.append(True, last[:-1])
         low, high = target[first], target[last] + 1
