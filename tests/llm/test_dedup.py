@@ -149,6 +149,42 @@ def test_drop_near_copies_keeps_one(spark):
     assert kept == {component for _, _, component in plain_components(corpus()[:100])}
 
 
+def plain_shingles(text, width=5):
+    parts = lowered(text).split()
+    return {tuple(parts[i : i + width]) for i in range(max(1, len(parts) - width + 1))} if parts else set()
+
+
+@pytest.mark.parametrize("chunk", [2, 2048])
+def test_drop_near_copies_by_similarity(spark, chunk):
+    """Edits that leave 0.6 to 1 of the five-word shingles, most of them beyond 3 bits."""
+    rng = random.Random(12)
+    texts = [words(rng, rng.randint(100, 400)).split() for _ in range(40)]
+    for k in range(160):
+        changed = list(texts[k % 40])
+        for _ in range(rng.randint(1, max(1, len(changed) // 30))):
+            changed[rng.randrange(len(changed))] = "zz"
+        texts.append(changed)
+    rows = [(i, " ".join(text)) for i, text in enumerate(texts)]
+    sets = [plain_shingles(text) for _, text in rows]
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    beyond = 0
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+                beyond += (plain_fingerprint(rows[i][1]) ^ plain_fingerprint(rows[j][1])).bit_count() > 3
+    assert beyond > 50
+    kept = simhash.drop_near_copies(table(spark, rows), chunk, width=5, similarity=0.8).collect()
+    assert sorted(row.doc_id for row in kept) == [i for i in range(len(rows)) if root(i) == i]
+
+
 def plain_repeats(texts, length):
     datas = [(doc_id, (text or "").encode()) for doc_id, text in texts]
     seen = Counter(d[i : i + length] for _, d in datas for i in range(len(d) - length + 1))

@@ -12,6 +12,13 @@ is linked like any other; fewer words than a shingle give one shingle; repeated
 rows stay rows of one component; a null doc_id belongs to its fingerprint's
 component but never names it (``component_id`` is null if no member has an id); an
 empty table gives an empty result; other columns are ignored.
+
+Near copies by similarity (``similar_links``) are pairs whose sets of shingles have a
+Jaccard similarity of at least a bound.  At 0.8 a pair's fingerprints lie about ten bits
+apart, too far for blocks of 64 bits, so bands of least hashes of the shingles give the
+candidates (a pair at 0.8 shares none of the bands once in 2,800); a wide SimHash radius
+sorts out most of the others and the shingles themselves decide.  Texts without words
+are alike.
 """
 
 from __future__ import annotations
@@ -32,6 +39,10 @@ SHINGLE_WORDS = 3
 MAX_BITS = 3
 SEED = 42
 CHUNK = 2048
+#: Least hashes in a band, bands, and bits that a similar pair may differ in: at 0.8 ten
+#: are expected, and 24 are five standard deviations more.
+BAND_SIZE, BANDS, SIMILAR_BITS = 5, 20, 24
+_ODD = np.random.default_rng(SEED).integers(0, 1 << 63, BAND_SIZE * BANDS, np.uint64) * np.uint64(2) + np.uint64(1)
 LOWER = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
 
 
@@ -64,18 +75,21 @@ def majority_bits(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(2 * totals > len(hashes)).tobytes(), "big")
 
 
-def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch, held in text_chunks(batches):
-        prints = [majority_bits(shingle_hashes(text)) for text in held]
-        signed = np.array(prints, np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_pydict(
-            {"doc_id": batch.column(0), "fingerprint": pa.array(signed)}
-        )
+def _fingerprint_batches(width: int):
+    def prints_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, held in text_chunks(batches):
+            prints = [majority_bits(shingle_hashes(text, width)) for text in held]
+            signed = np.array(prints, np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_pydict(
+                {"doc_id": batch.column(0), "fingerprint": pa.array(signed)}
+            )
+
+    return prints_of
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id and fingerprint (64 bits as a long) of every document, stored."""
-    table = texts(docs).mapInArrow(_fingerprint_batches, "doc_id long, fingerprint long")
+    table = texts(docs).mapInArrow(_fingerprint_batches(width), "doc_id long, fingerprint long")
     return stored(table, "fingerprints")
 
 
@@ -177,19 +191,155 @@ def near_components(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     return rows.join(per_print, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
-def drop_near_copies(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """The documents whose id names their component, with all their columns.
+def bands(hashes: np.ndarray) -> list[int]:
+    """A key of each band of least hashes of a set of shingles."""
+    least = np.full(len(_ODD), np.iinfo(np.uint64).max, np.uint64)
+    for start in range(0, len(hashes), 8192):
+        part = hashes[start : start + 8192, None] * _ODD
+        np.minimum(least, part.min(axis=0), out=least)
+    keys = (xxhash.xxh64_intdigest(band.tobytes(), k) for k, band in enumerate(least.reshape(BANDS, BAND_SIZE)))
+    return np.fromiter(keys, np.uint64, BANDS).view(np.int64).tolist()
 
-    Documents without an id cannot be told apart from one another and stay.
-    """
-    own = fresh(docs, "own_dropped")
-    dropped = (
-        near_components(docs, chunk)
-        .filter(F.col("doc_id") != F.col("component_id"))
-        .select(F.col("doc_id").alias(own))
-        .distinct()
+
+def _band_batches(width: int):
+    def band(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, held in text_chunks(batches):
+            keys = [bands(np.unique(shingle_hashes(text, width))) for text in held]
+            yield pa.RecordBatch.from_pydict(
+                {"row": batch.column(0), "keys": pa.array(keys, pa.list_(pa.int64()))}
+            )
+
+    return band
+
+
+def _set_batches(width: int):
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, held in text_chunks(batches):
+            found = [np.unique(shingle_hashes(text, width)) for text in held]
+            prints = np.array([majority_bits(own) for own in found], np.uint64)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "row": batch.column(0),
+                    "fingerprint": pa.array(prints.view(np.int64)),
+                    "shingles": pa.array([own.tobytes() for own in found], pa.binary()),
+                }
+            )
+
+    return sets
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Of two sorted sets; two empty ones are alike."""
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return shared / (len(a) + len(b) - shared) if len(a) + len(b) else 1.0
+
+
+def similar_spanning_links(
+    rows: np.ndarray, prints: np.ndarray, sets: list[np.ndarray], similarity: float
+) -> list[tuple[int, int]]:
+    """(member, member) links that span the components of the similar pairs."""
+    sizes = np.array([len(own) for own in sets])
+    prints = prints.view(np.uint64)
+    open_ = np.unique(rows, return_index=True)[1]  # a row may come from both chunks
+    links = []
+    while len(open_) > 1:
+        frontier, open_ = [open_[0]], open_[1:]
+        while frontier and len(open_):
+            at = frontier.pop()
+            maybe = np.bitwise_count(prints[open_] ^ prints[at]) <= SIMILAR_BITS
+            maybe &= (sizes[open_] >= similarity * sizes[at]) & (sizes[at] >= similarity * sizes[open_])
+            near = np.zeros(len(open_), bool)
+            for k in np.flatnonzero(maybe).tolist():
+                near[k] = jaccard(sets[at], sets[open_[k]]) >= similarity
+            links += [(int(rows[at]), x) for x in rows[open_[near]].tolist()]
+            frontier += open_[near].tolist()
+            open_ = open_[~near]
+    return links
+
+
+def _similar_batches(similarity: float):
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            links: list[tuple[int, int]] = []
+            for group in batch.column(0):
+                rows, prints, sets = group.values.flatten()
+                links += similar_spanning_links(
+                    rows.to_numpy(),
+                    prints.to_numpy(),
+                    [np.frombuffer(own.as_py(), np.uint64) for own in sets],
+                    similarity,
+                )
+            a, b = zip(*links, strict=True) if links else ((), ())
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return link
+
+
+def similar_links(numbered: DataFrame, width: int, similarity: float, chunk: int = CHUNK) -> DataFrame:
+    """Links between rows whose shingles are similar, from a stored table (row, text)."""
+    key = Window.partitionBy("key")
+    candidates = (
+        numbered.mapInArrow(_band_batches(width), "row long, keys array<long>")
+        .select("row", F.explode("keys").alias("key"))
+        .withColumn("members", F.count("*").over(key))
+        .withColumn("key", F.bit_xor(F.xxhash64("row")).over(key))
+        .filter("members > 1")
+        .distinct()  # the same rows under several bands are compared once
     )
-    kept = docs.join(
-        stored(dropped, "dropped"), docs["doc_id"].cast("long") == F.col(own), "left_anti"
+    dealt = stored(candidates, "candidates")
+    sets = numbered.join(dealt.select("row").distinct(), "row", "left_semi").mapInArrow(
+        _set_batches(width), "row long, fingerprint long, shingles binary"
     )
-    return kept.select(docs.columns)
+    group = Window.partitionBy("key", "members").orderBy("row")
+    small = dealt.filter(F.col("members") <= chunk).select(
+        "key", "members", F.lit(0).cast("long").alias("first"), F.lit(0).cast("long").alias("second"), "row"
+    )
+    ranked = (
+        dealt.filter(F.col("members") > chunk)
+        .withColumn("own", F.floor((F.row_number().over(group) - 1) / chunk))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.floor((F.col("members") - 1) / chunk))))
+    )
+    pairs = ranked.select(
+        "key", "members", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"), "row"
+    )
+    own = F.struct("row", "fingerprint", "shingles")
+    return (
+        small.unionByName(pairs)
+        .join(stored(sets, "sets"), "row")
+        .groupBy("key", "members", "first", "second")
+        .agg(F.collect_list(own).alias("group"))
+        .select("group")
+        .mapInArrow(_similar_batches(similarity), "a long, b long")
+    )
+
+
+def drop_near_copies(
+    docs: DataFrame,
+    chunk: int = CHUNK,
+    width: int = SHINGLE_WORDS,
+    similarity: float | None = None,
+) -> DataFrame:
+    """One document of each component, the one with the least doc_id, with all its columns.
+
+    Components are of rows whose sets of shingles of ``width`` words are similar; without
+    a similarity they are those of fingerprints within MAX_BITS.  Rows go by a stored
+    number: rows without an id come last in a component, and exactly one row stays.
+    """
+    own = fresh(docs, "own_row")
+    numbered = stored(docs.withColumn(own, F.monotonically_increasing_id()), "numbered")
+    rows = numbered.select(F.col(own).alias("row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    ids = numbered.select(F.col(own).alias("node"), F.col("doc_id").cast("long").alias("doc_id"))
+    if similarity is None:
+        prints = fingerprints(rows.withColumnRenamed("row", "doc_id"), width)
+        least = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "prints")
+        same = prints.join(least, "fingerprint").select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
+        rows_of = [least.toDF(end, f"row_{end}") for end in "ab"]
+        near = close_links(least, chunk).join(rows_of[0], "a").join(rows_of[1], "b")
+        links = same.unionByName(near.select(F.col("row_a").alias("a"), F.col("row_b").alias("b")))
+    else:
+        links = similar_links(rows, width, similarity, chunk)
+    roots = stored(components(links), "roots")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node"))
+    kept = roots.join(ids, "node").groupBy("root").agg(first.alias("kept"))
+    dropped = roots.join(kept, "root").filter(F.col("node") != F.col("kept.node"))
+    return numbered.join(dropped.select(F.col("node").alias(own)), own, "left_anti").select(docs.columns)
