@@ -206,6 +206,13 @@ def test_lm_prefers_the_corpus_to_shuffled_text(spark, docs):
     assert value[0] > -np.log(settings.size)
 
 
+def test_lm_trains_on_every_document_in_each_round():
+    settings = pseudolm.Settings()
+    texts = [f"text {k}" for k in range(200)]
+    for turn in range(settings.rounds):
+        assert all(pseudolm._chosen(text, settings, turn) for text in texts)
+
+
 def test_lm_probabilities_sum_to_one():
     settings = pseudolm.Settings(classes=3, per_class=4, shared=2)
     network = pseudolm.new_network(settings)

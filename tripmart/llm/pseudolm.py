@@ -6,8 +6,8 @@ two-level softmax gives first the token's class and then the token within it.  A
 document's score is the sum of the log-probabilities of all its tokens.
 
 The vocabulary comes from word counts over all documents.  The network is trained in
-numpy where the data lie: in each round every task takes steps over a hash-chosen share
-of its documents, and the tasks' parameters are averaged by their numbers of tokens
+numpy where the data lie: in each round every task takes steps over all of its
+documents, and the tasks' parameters are averaged by their numbers of tokens
 (in Spark, slice by slice).  Work and shuffled counts grow with the corpus; the model,
 the only thing broadcast, has a fixed size.
 
@@ -44,8 +44,8 @@ class Settings:
     reach: int = 2
     hidden: int = 24
     rounds: int = 2
-    #: One document of so many trains the network.
-    every: int = 16
+    #: One document of so many trains the network in a round; 1 is all of them.
+    every: int = 1
     step: float = 0.5
     batch: int = 1024
     seed: int = 5
@@ -190,8 +190,11 @@ class Network:
                 self.word_bias[k] -= scale * error.sum(axis=0)
         back *= 1 - hidden * hidden
         self.bias -= scale * back.sum(axis=0)
+        back *= 8 * scale
+        columns = np.arange(settings.hidden)
         for table, numbers in zip(self.near, around, strict=True):
-            np.subtract.at(table, numbers, (8 * scale) * back)
+            flat = (numbers[:, None] * settings.hidden + columns).ravel()
+            np.subtract.at(table.reshape(-1), flat, back.ravel())  # flat indices are the fast case
 
 
 def _log_share(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
