@@ -154,6 +154,18 @@ def test_language_spans_scripts_and_odd_texts(spark, docs):
     assert names == sorted(names)
 
 
+def test_every_labelled_language_is_learnt(spark):
+    rows = [(i, f"common words of one text {i}", "en") for i in range(3000)]
+    rows += [(3000 + i, f"перо слово мир {i}", f"rare{i % 2}") for i in range(12)]
+    rows += [(4000, "long " * 20, "long")]
+    table_of = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    settings = language.Settings(sample_rows=8, sample_chars=40, buckets=256)
+    assert language.fitted(table_of, settings, None).languages == ["en", "long", "rare0", "rare1"]
+    known = table_of.select("doc_id", "lang")
+    sizes = {r.lang: r["count"] for r in language._chosen(known, 5).groupBy("lang").count().collect()}
+    assert sizes == {"en": 5, "long": 1, "rare0": 5, "rare1": 5}
+
+
 def test_viterbi_against_all_paths():
     rng = np.random.default_rng(1)
     lengths = np.array([4, 0, 6, 1])

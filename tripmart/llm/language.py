@@ -6,8 +6,9 @@ in each of them.  Viterbi decoding with a penalty for each switch labels the wor
 a text in several languages falls into spans.  A document's language is the one with
 most letters, and its score is that share of the letters.
 
-The model learns from a bounded sample of labelled documents (``Settings``); every
-word of every document is scored.
+The model learns from a bounded sample of the labelled documents of each language
+(``Settings``), so every labelled language can be predicted; every word of every
+document is scored.
 
 Defined cases: a null text or one without letters is ``und`` with score 0; so is every
 text if nothing is learnt; a script no language was seen in leaves all languages open;
@@ -19,12 +20,12 @@ columns are ignored.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import fold, text_chunks, texts
@@ -46,8 +47,9 @@ SCRIPT_STARTS = np.array(
 class Settings:
     """Bounds of the labelled sample and parameters of the scores."""
 
+    #: Of each language.
     sample_rows: int = 5000
-    #: Longer labelled texts are left out of the sample (never of the predictions).
+    #: Longer labelled texts are cut in the sample (never in the predictions).
     sample_chars: int = 40_000
     buckets: int = 1 << 16
     orders: tuple[int, ...] = (1, 2, 3, 4)
@@ -98,20 +100,25 @@ def _grams(words: list[str], settings: Settings) -> tuple[np.ndarray, np.ndarray
     return np.concatenate(hashes), np.concatenate(owner)
 
 
-def train(rows: list, settings: Settings = Settings()) -> Model:
-    """A model from (text, lang) rows."""
-    names = sorted({row.lang for row in rows})
-    counts = np.full((settings.buckets, max(1, len(names))), settings.smoothing)
-    scripts = np.zeros((len(SCRIPT_STARTS), max(1, len(names))))
+def train(rows: Iterable, settings: Settings = Settings()) -> Model:
+    """A model from (text, lang) rows, which are read one by one."""
+    held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     for row in rows:
+        if row.lang not in held:
+            held[row.lang] = np.zeros(settings.buckets), np.zeros(len(SCRIPT_STARTS))
         words = WORD.findall(row.text.lower())
         if words:
-            k = names.index(row.lang)
             hashes, _ = _grams(words, settings)
-            counts[:, k] += np.bincount(hashes, minlength=settings.buckets)
             first = np.array([ord(word[0]) for word in words])
             place = np.searchsorted(SCRIPT_STARTS, first, side="right") - 1
-            scripts[:, k] += np.bincount(place, minlength=len(SCRIPT_STARTS))
+            for total, found in zip(held[row.lang], (hashes, place), strict=True):
+                total += np.bincount(found, minlength=len(total))
+    names = sorted(held)
+    counts = np.full((settings.buckets, max(1, len(names))), settings.smoothing)
+    scripts = np.zeros((len(SCRIPT_STARTS), max(1, len(names))))
+    for k, name in enumerate(names):
+        counts[:, k] += held[name][0]
+        scripts[:, k] += held[name][1]
     used = scripts >= settings.script_share * np.maximum(scripts.sum(axis=0), 1)
     used[~used.any(axis=1)] = True
     return Model(settings, names, np.log(counts / counts.sum(axis=0)).astype(np.float32), used)
@@ -128,12 +135,24 @@ def fitted(
         F.col("lang").cast("string").alias("lang"),
         F.col("text").cast("string").alias("text"),
     ).filter("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
-    known = known.filter(F.length("text") <= settings.sample_chars)
+    known = known.withColumn("text", F.substring("text", 1, settings.sample_chars))
     if exclude:
         known = known.filter(fold("doc_id", exclude[0]) != exclude[1])
-    chosen = known.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = known.join(F.broadcast(chosen.limit(settings.sample_rows)), "doc_id")
-    return train(sorted(sample.select("doc_id", "lang", "text").collect()), settings)
+    sample = known.join(_chosen(known, settings.sample_rows), ["doc_id", "lang"])
+    return train(sample.select("text", "lang").toLocalIterator(), settings)
+
+
+def _chosen(known: DataFrame, rows: int) -> DataFrame:
+    """The ids of each language with the least hashes, so many of each at most.
+
+    A bar at twice that share of the hashes leaves few rows to be ranked.
+    """
+    ids = known.select("lang", "doc_id").distinct().withColumn("hash", F.xxhash64("doc_id"))
+    sizes = ids.groupBy("lang").agg(F.count("*").alias("ids"))
+    few = ids.join(sizes, "lang").filter((F.col("hash") / 2.0**64 + 0.5) * F.col("ids") <= 2 * rows + 100)
+    order = Window.partitionBy("lang").orderBy("hash", "doc_id")
+    ranked = few.withColumn("rank", F.row_number().over(order))
+    return ranked.filter(F.col("rank") <= rows).select("doc_id", "lang")
 
 
 def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.ndarray:
