@@ -129,6 +129,27 @@ def test_slices_of_the_benchmark_hold_every_item(spark):
     assert sorted(whole) == sorted(parts) and len(whole) == benchmark.count()
 
 
+def test_leaks_do_not_depend_on_slices(spark):
+    rng = random.Random(9)
+    draw = lambda n: ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n)]
+    shared = draw(16)
+    items = [(k, shared + draw(14)) for k in range(8)]
+    texts = []
+    for k in range(64):
+        item = list(items[k % 8][1])
+        item[rng.randrange(30)] = "changed"
+        texts.append((k, " ".join(draw(5) + item + draw(5))))
+    benchmark = spark.createDataFrame([(i, " ".join(item)) for i, item in items], "item_id long, text string")
+    docs = table(spark, texts)
+    assert len(list(decontaminate.indexes(benchmark, 200))) > 4
+    found = [
+        sorted(tuple(r) for r in decontaminate.leaks(docs, benchmark, 0.6, limit).collect())
+        for limit in (decontaminate.SLICE_CHARS, 200)
+    ]
+    key = lambda rows: [(r[0], r[1], round(r[2], 9), *r[3:]) for r in rows]
+    assert key(found[0]) == key(found[1]) and len(found[0]) > 10
+
+
 def test_language_of_held_out_documents(docs):
     model = language.fitted(docs)
     rows = language.languages(docs, model).join(docs.select("doc_id", "lang"), "doc_id")

@@ -12,7 +12,9 @@ any other window has similarity zero.  The radius lies four standard deviations
 beyond the expected distance at the similarity asked for.
 
 The benchmark goes to the tasks in slices of at most ``SLICE_CHARS`` characters, one
-pass over the documents for each.
+pass over the documents for each.  Holders are counted over the whole benchmark before,
+and every slice gets those of all shingles that more than one item holds (a window may
+have shingles of another slice's items), so results do not depend on the slices.
 
 Defined cases: a null text, or one with fewer words than an item, has no window of
 that size; items without words or without an id match nothing; an item with fewer
@@ -123,16 +125,18 @@ def _block(prints: np.ndarray, b: int) -> np.ndarray:
 class Index:
     """The benchmark's items by size, and which shingles occur at each size."""
 
-    def __init__(self, items: list[tuple[int, str]], width: int = SHINGLE_WORDS) -> None:
+    def __init__(
+        self, items: list[tuple[int, str]], holders: dict[int, int], width: int = SHINGLE_WORDS
+    ) -> None:
+        """holders: how many items of the whole benchmark hold a shingle, if more than one."""
         hashes = WordHashes()
         self.width = width
         by_size: dict[int, list[tuple[int, Counter]]] = {}
-        self.holders: Counter = Counter()
+        self.holders = holders
         for item_id, text in items:
             words = hashes.of(text or "")
             if len(words) and item_id is not None:
                 bag = Counter(shingles(words, min(width, len(words))).tolist())
-                self.holders.update(bag.keys())
                 by_size.setdefault(len(words), []).append((item_id, bag))
         self.groups = [
             Items(size, [i for i, _ in held], [bag for _, bag in held], self.weight)
@@ -210,6 +214,32 @@ class Index:
         return 2 * shared / (own + group.weight[item])
 
 
+def _holder_batches(width: int):
+    def shingles_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for _, held in text_chunks(batches):
+            lines = [hashes.of(text) for text in held]
+            own = [np.unique(shingles(words, min(width, len(words)))) for words in lines if len(words)]
+            if own:
+                yield pa.RecordBatch.from_pydict({"shingle": pa.array(np.concatenate(own).view(np.int64))})
+
+    return shingles_of
+
+
+def shared_holders(items: DataFrame, width: int = SHINGLE_WORDS) -> dict[int, int]:
+    """How many items hold each shingle that more than one holds."""
+    counted = (
+        items.select("text")
+        .mapInArrow(_holder_batches(width), "shingle long")
+        .groupBy("shingle")
+        .agg(F.count("*").alias("n"))
+        .filter("n > 1")
+        .toArrow()
+    )
+    found = counted["shingle"].to_numpy().view(np.uint64).tolist()
+    return dict(zip(found, counted["n"].to_pylist(), strict=True))
+
+
 def indexes(benchmark: DataFrame, limit: int = SLICE_CHARS) -> Iterator[Index]:
     """The benchmark's index, in slices of about ``limit`` characters at most."""
     items = benchmark.select(
@@ -218,9 +248,10 @@ def indexes(benchmark: DataFrame, limit: int = SLICE_CHARS) -> Iterator[Index]:
     ).filter("item_id IS NOT NULL")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     slices = 1 + total // limit
+    holders = shared_holders(items)
     for k in range(slices):
         part = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(slices)) == k)
-        yield Index(sorted((row.item_id, row.text) for row in part.collect()))
+        yield Index(sorted((row.item_id, row.text) for row in part.collect()), holders)
 
 
 def _match_batches(index: Index, similarity: float):
@@ -243,10 +274,12 @@ def _match_batches(index: Index, similarity: float):
     return match
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def leaks(
+    docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, limit: int = SLICE_CHARS
+) -> DataFrame:
     """One row per document and item found in it: similarity, first word, distance."""
     schema = "doc_id long, item_id long, similarity double, first_word long, distance int"
-    parts = [texts(docs).mapInArrow(_match_batches(i, similarity), schema) for i in indexes(benchmark)]
+    parts = [texts(docs).mapInArrow(_match_batches(i, similarity), schema) for i in indexes(benchmark, limit)]
     return reduce(DataFrame.unionByName, parts)
 
 
