@@ -1,6 +1,7 @@
 """BPE, decontamination, language, resampling, LM scores, pseudonyms and toxicity."""
 
 import random
+import re
 from pathlib import Path
 
 import numpy as np
@@ -286,6 +287,29 @@ def test_pseudonyms_keep_format_and_come_back(spark):
     assert all(other[k] != rows[k] for k in range(len(VALUES)))
 
 
+def test_dates_of_every_layout_are_permuted(spark):
+    from datetime import date, timedelta
+
+    from pyspark.sql import functions as F
+
+    days = [date(1900, 1, 1) + timedelta(k) for k in range(73_049)]
+    assert days[-1] == date(2099, 12, 31)
+    values = [f"{d:%Y-%m-%d}" for d in days]
+    values += [f"{d:%d/%m/%Y}" for d in days] + [f"{d.day}.{d.month}.{d.year}" for d in days]
+    values += [f"{d:%m/%d/%Y}" for d in days if d.day > 12]
+    values += [f"{d.month}/{d.day}/{d.year}" for d in days if d.day > 12]
+    values += [f"{d:%d}/{d.month}/{d.year}" for d in days if d.day < 10 > d.month]
+    frame = spark.createDataFrame([(v,) for v in dict.fromkeys(values)], "value string").repartition(8)
+    new = frame.select("value", private._date(F.col("value"), "k", False).alias("new"))
+    rows = new.select("value", "new", private._date(F.col("new"), "k", True).alias("back")).collect()
+    assert all(r.back == r.value for r in rows)
+    assert len({r.new for r in rows}) == len(rows)
+    form = lambda v: [(len(p), c) for p, c in zip(re.split("[-/.]", v), re.findall("[-/.]", v) + [""])]
+    assert all(form(r.new) == form(r.value) for r in rows)
+    us = {r.value: r.new for r in rows if "/" in r.value and int(r.value.split("/")[1]) > 12}
+    assert us and all(int(new.split("/")[1]) > 12 for new in us.values())
+
+
 def test_feistel_is_a_permutation(spark):
     from pyspark.sql import functions as F
 

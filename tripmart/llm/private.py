@@ -12,7 +12,8 @@ from 1900 to 2099, US social security numbers, phone numbers, payment card numbe
 19 digits with a Luhn digit; the first digit stays), IBANs (digits of the account).
 
 Defined cases: a null text stays null, an empty text empty; a value that fails its
-validation stays as it is; a day and month that may be read both ways is read day first;
+validation stays as it is; a day and month that may be read both ways is read day first,
+one that is readable only month first stays so, and each field keeps its number of digits;
 repeated values and rows get equal results; a null doc_id stays null; an empty table
 gives an empty result; other columns are ignored.
 """
@@ -179,32 +180,164 @@ def _ip(text: Column, key: str, undo: bool) -> Column:
     return F.when(F.forall(parts, lambda x: x <= 255), F.concat_ws(".", *octets)).otherwise(text)
 
 
-#: 200 years of days are 11 * 29 * 229 days.
-DAYS = (229, 319)
-FIRST_DAY, LAST_DAY = "1900-01-01", "2099-12-31"
+FIRST_YEAR, YEARS = 1900, 200
+MONTH_DAYS = (31, 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31)
+#: 200 years of days are 73,049; halves of one more (see ``_date``).
+DAYS = (150, 487)
+#: Sets of dates by (first day, last day, last month): first the days of the month that a
+#: field of one or two digits holds, day first; then those readable only month first.
+DATE_SETS = {
+    (1, 31, 12): DAYS,
+    (1, 31, 9): (211, 259),
+    (1, 9, 12): (144, 150),
+    (1, 9, 9): (120, 135),
+    (13, 31, 12): (177, 250),
+    (13, 31, 9): (50, 661),
+}
 
 
-def _date(text: Column, key: str, undo: bool) -> Column:
+def _year_starts(low: int, high: int, months: int, leap: bool) -> list[int]:
+    """Days of the set before each month of a year, and in all."""
+    starts = [0]
+    for month, size in enumerate(MONTH_DAYS[:months], 1):
+        starts.append(starts[-1] + min(high, size + (leap and month == 2)) - low + 1)
+    return starts
+
+
+def _leap(at: Column) -> Column:
+    """Whether the year that many after FIRST_YEAR has a 29 February (1900 has none)."""
+    return (at % 4 == 0) & (at > 0)
+
+
+def _fields(text: Column) -> Column:
+    """The text's fields as written, and its mark."""
     iso = text.rlike(r"^\d{4}-")
     parts = F.split(text, r"[-/.]")
-    year, second = F.when(iso, parts[0]).otherwise(parts[2]), parts[1]
-
-    def day(month: Column, of_month: Column) -> Column:
-        padded = F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(of_month, 2, "0"))
-        return F.try_to_date(padded, "yyyy-MM-dd")
-
-    day_first = day(second, parts[0])
-    month_first = F.when(day_first.isNull(), day(parts[0], second))
-    value = F.when(iso, day(second, parts[2])).otherwise(F.coalesce(day_first, month_first))
-    place = F.datediff(value, F.lit(FIRST_DAY).cast("date")).cast("long")
-    new = F.date_add(F.lit(FIRST_DAY).cast("date"), feistel(place, *DAYS, F.lit("date"), key, undo).cast("int"))
-    dotted = F.when(iso, F.date_format(new, "yyyy-MM-dd")).otherwise(
-        F.date_format(new, "dd.MM.yyyy")
+    return F.struct(
+        F.when(iso, parts[2]).otherwise(parts[0]).alias("one"),
+        parts[1].alias("two"),
+        F.when(iso, parts[0]).otherwise(parts[2]).alias("year"),
+        F.when(iso, "-").when(text.contains("/"), "/").otherwise(".").alias("mark"),
+    )
+
+
+def _read(own: Column) -> Column:
+    """Year, month, day and the set's number (null if there is no such date)."""
+
+    def exists(month: str, day: str) -> Column:
+        padded = F.concat_ws("-", own["year"], F.lpad(own[month], 2, "0"), F.lpad(own[day], 2, "0"))
+        return F.try_to_date(padded, "yyyy-MM-dd").isNotNull()
+
+    short_one, short_two = F.length(own["one"]) == 1, F.length(own["two"]) == 1
+    day_first = F.when(short_one, F.when(short_two, 3).otherwise(2)).otherwise(F.when(short_two, 1).otherwise(0))
+    month_first = F.when(short_one, 5).otherwise(4)
+    kind = F.when(exists("two", "one"), day_first).when(
+        (own["mark"] != "-") & exists("one", "two"), month_first
+    )
+    return F.struct(
+        *[own[name].alias(name) for name in ("one", "two", "mark")],
+        (own["year"].cast("int") - FIRST_YEAR).alias("at"),
+        kind.alias("kind"),
+    )
+
+
+def _with_set(own: Column) -> Column:
+    """The same with the numbers of its set of dates."""
+
+    def of(values: list) -> Column:
+        return F.array(*[F.lit(value) for value in values])[own["kind"]]
+
+    starts = {
+        leap: [_year_starts(*dates, leap) for dates in DATE_SETS] for leap in (False, True)
+    }
+    sizes = [
+        sum(long[-1] if y and y % 4 == 0 else plain[-1] for y in range(YEARS))
+        for plain, long in zip(starts[False], starts[True], strict=True)
+    ]
+    late = own["kind"] >= 4
+    return F.struct(
+        *[own[name].alias(name) for name in ("one", "two", "mark", "at", "kind")],
+        late.alias("late"),
+        F.when(late, own["one"]).otherwise(own["two"]).cast("int").alias("month"),
+        F.when(late, own["two"]).otherwise(own["one"]).cast("int").alias("day"),
+        of([dates[0] for dates in DATE_SETS]).alias("first_day"),
+        of([plain[-1] for plain in starts[False]]).alias("per_year"),
+        of([b[-1] - a[-1] for a, b in zip(starts[False], starts[True], strict=True)]).alias("grows"),
+        of([low for low, _ in DATE_SETS.values()]).cast("long").alias("low"),
+        of([high for _, high in DATE_SETS.values()]).cast("long").alias("high"),
+        of(sizes).alias("size"),
+        *[
+            F.array(*[F.array(*map(F.lit, part)) for part in starts[leap]])[own["kind"]].alias(name)
+            for leap, name in ((False, "plain"), (True, "leap"))
+        ],
+    )
+
+
+def _date(text: Column, key: str, undo: bool) -> Column:
+    """A date is its rank in its set; fields keep their numbers of digits and their order.
+
+    Where a set has one date less than the Feistel network has numbers, the number left
+    over is passed by with a second turn.  Arrays of one element bind a value to a name,
+    so that it is computed once.
+    """
+
+    def before(own: Column, at: Column) -> Column:
+        return own["per_year"] * at + own["grows"] * F.greatest(F.floor((at - 1) / 4), F.lit(0))
+
+    def turned(own: Column, value: Column) -> Column:
+        tweak = F.concat(F.lit("date"), own["kind"].cast("string"))
+        return feistel(value, own["low"], own["high"], tweak, key, undo)
+
+    def ranked(own: Column) -> Column:
+        begins = F.when(_leap(own["at"]), own["leap"]).otherwise(own["plain"])
+        rank = before(own, own["at"]) + begins[own["month"] - 1] + own["day"] - own["first_day"]
+        return F.struct(own.alias("own"), rank.cast("long").alias("rank"))
+
+    def moved(state: Column) -> Column:
+        return F.struct(state["own"].alias("own"), turned(state["own"], state["rank"]).alias("rank"))
+
+    def walked(state: Column) -> Column:
+        again = F.when(state["rank"] == state["own"]["size"], turned(state["own"], state["rank"]))
+        rank = again.otherwise(state["rank"])
+        return F.struct(state["own"].alias("own"), rank.alias("rank"))
+
+    def in_year(state: Column) -> Column:
+        guess = F.floor(state["rank"] / state["own"]["per_year"])
+        at = F.when(before(state["own"], guess) > state["rank"], guess - 1).otherwise(guess)
+        return F.struct(state["own"].alias("own"), state["rank"].alias("rank"), at.alias("at"))
+
+    def in_month(state: Column) -> Column:
+        own, at = state["own"], state["at"]
+        begins = F.when(_leap(at), own["leap"]).otherwise(own["plain"])
+        left = state["rank"] - before(own, at)
+        return F.struct(own.alias("own"), at.alias("at"), left.alias("left"), begins.alias("begins"))
+
+    def found(state: Column) -> Column:
+        month = F.size(F.filter(state["begins"], lambda x: x <= state["left"]))
+        day = state["left"] - state["begins"][month - 1] + state["own"]["first_day"]
+        return F.struct(state["own"].alias("own"), state["at"].alias("at"), month.alias("month"), day.alias("day"))
+
+    def shown(state: Column) -> Column:
+        own = state["own"]
+
+        def field(name: str, late: str, early: str) -> Column:
+            value = F.when(own["late"], state[late]).otherwise(state[early]).cast("string")
+            return F.lpad(value, F.length(own[name]), F.lit("0"))
+
+        one, two = field("one", "month", "day"), field("two", "day", "month")
+        year = (state["at"] + FIRST_YEAR).cast("string")
+        return F.when(own["mark"] == "-", F.concat_ws("-", year, two, one)).otherwise(
+            F.concat(one, own["mark"], two, own["mark"], year)
+        )
+
+    known = F.filter(
+        F.transform(F.transform(F.array(text), _fields), _read),
+        lambda own: own["kind"].isNotNull() & own["at"].between(0, YEARS - 1),
     )
-    dotted = F.when(month_first.isNotNull(), F.date_format(new, "MM.dd.yyyy")).otherwise(dotted)
-    shown = F.when(text.contains("/"), F.translate(dotted, ".", "/")).otherwise(dotted)
-    known = value.between(F.lit(FIRST_DAY).cast("date"), F.lit(LAST_DAY).cast("date"))
-    return F.when(F.coalesce(known, F.lit(False)), shown).otherwise(text)
+    steps = known
+    for step in (_with_set, ranked, moved, walked, in_year, in_month, found, shown):
+        steps = F.transform(steps, step)
+    return F.coalesce(F.get(steps, F.lit(0)), text)
 
 
 def _ssn(text: Column, key: str, undo: bool) -> Column:
