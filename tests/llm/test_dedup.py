@@ -185,6 +185,16 @@ def test_drop_near_copies_by_similarity(spark, chunk):
     assert sorted(row.doc_id for row in kept) == [i for i in range(len(rows)) if root(i) == i]
 
 
+@pytest.mark.parametrize("by", [{}, {"width": 5, "similarity": 0.8}])
+def test_drop_near_copies_keeps_one_row_whatever_the_ids(spark, by):
+    rng = random.Random(3)
+    a, b, c, clean = (words(rng, 300) for _ in range(4))
+    rows = [(None, a), (None, a + " "), (7, b), (7, b + " "), (2, c), (5, c + " "), (5, clean)]
+    kept = simhash.drop_near_copies(table(spark, rows), **by).collect()
+    found = sorted((str(row.doc_id), row.text.strip()) for row in kept)
+    assert found == sorted([("None", a), ("7", b), ("2", c), ("5", clean)])
+
+
 def plain_repeats(texts, length):
     datas = [(doc_id, (text or "").encode()) for doc_id, text in texts]
     seen = Counter(d[i : i + length] for _, d in datas for i in range(len(d) - length + 1))
