@@ -202,6 +202,16 @@ def test_viterbi_against_all_paths():
         at += n
 
 
+def test_more_languages_than_a_byte_or_a_list_holds():
+    scores = np.zeros((6, 300), np.float32)
+    scores[:3, 200], scores[3:, 299] = 9, 9
+    assert language.viterbi(scores, np.array([6]), 2.0).tolist() == [200] * 3 + [299] * 3
+    names = [f"l{k:02}" for k in range(40)]
+    words = [np.array([k + 1], np.uint32) for k in range(40)]
+    found, table_of = toxicity._language_tables(words, names, toxicity.Settings(buckets=64))
+    assert found == names and [int(table_of[k + 1].argmax()) for k in range(40)] == list(range(40))
+
+
 def test_resampling(spark, docs, labels):
     rows = resample.resampled(docs, labels).collect()
     count = round(len(rows) * resample.good_share(labels))

@@ -161,8 +161,8 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.ndarra
     order = np.argsort(-lengths, kind="stable")
     begin, longest = starts[order], int(lengths.max(initial=0))
     active = np.searchsorted(-lengths[order], -np.arange(longest), side="left")
-    came = np.zeros(scores.shape, np.int8)
-    own = np.arange(scores.shape[1], dtype=np.int8)
+    came = np.zeros(scores.shape, np.int16)
+    own = np.arange(scores.shape[1], dtype=np.int16)
     state = np.zeros((len(lengths), scores.shape[1]), np.float32)
     for t in range(longest):
         n = active[t]
@@ -171,11 +171,11 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.ndarra
             top = here.argmax(axis=1)
             leap = here[np.arange(n), top][:, None] - switch
             moved = leap > here
-            came[at] = np.where(moved, top[:, None].astype(np.int8), own)
+            came[at] = np.where(moved, top[:, None].astype(np.int16), own)
             here = np.maximum(here, leap)
         state[:n] = here + scores[at]
-    best = np.zeros(len(scores), np.int8)
-    label = state.argmax(axis=1).astype(np.int8)
+    best = np.zeros(len(scores), np.int16)
+    label = state.argmax(axis=1).astype(np.int16)
     for t in range(longest - 1, -1, -1):
         n = active[t]
         at = begin[:n] + t
