@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tripmart.llm import (
     bpe,
+    conversation_sql,
+    conversations,
     decontaminate,
     exact,
     language,
@@ -103,6 +105,10 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity_scores(docs, toxicity.fitted(docs, labels(spark, folder)))
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repaired(spark.read.parquet(f"{folder}/conversations.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_lm_scoring": op2_lm_scoring,
@@ -114,6 +120,7 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_conversation_repair": op11_conversation_repair,
     "pipeline": pipeline,
 }
 
@@ -129,4 +136,5 @@ ORACLE_SQL: dict[str, str] = {
                 ORDER BY doc_id DESC NULLS LAST, row DESC) = 1 AS kept, text_sha256
         FROM digests WINDOW same AS (PARTITION BY text_sha256)
     """,
+    "op11_conversation_repair": conversation_sql.statement(),
 }
