@@ -21,6 +21,7 @@ from tripmart.llm import (
     simhash,
     suffixes,
     toxicity,
+    whitening,
 )
 from tripmart.llm.common import documents
 
@@ -109,6 +110,10 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return conversations.repaired(spark.read.parquet(f"{folder}/conversations.parquet"))
 
 
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_lm_scoring": op2_lm_scoring,
@@ -121,6 +126,7 @@ QUERIES: dict[str, Query] = {
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_toxicity": op10_toxicity,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_embedding_whitening": op12_embedding_whitening,
     "pipeline": pipeline,
 }
 
