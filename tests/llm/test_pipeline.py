@@ -12,12 +12,13 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_registered_names():
     numbers = {int(name[2:].split("_")[0]) for name in QUERIES if name.startswith("op")}
-    assert numbers == set(range(1, 11)) and "pipeline" in QUERIES
+    assert numbers == set(range(1, 14)) and "pipeline" in QUERIES
 
 
 def test_sql(spark):
     duck = duckdb.connect()
-    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{FOLDER}/documents.parquet'")
+    for table in ("documents", "conversations"):
+        duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     for name, statement in ORACLE_SQL.items():
         table = QUERIES[name](spark, FOLDER)
         got = table_rows(table.columns, [tuple(row) for row in table.collect()])

@@ -15,6 +15,7 @@ from tripmart.llm import (
     decontaminate,
     exact,
     language,
+    pages,
     private,
     pseudolm,
     resample,
@@ -114,6 +115,10 @@ def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whitened(spark.read.parquet(f"{folder}/embeddings.parquet"))
 
 
+def op13_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.main_text(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_lm_scoring": op2_lm_scoring,
@@ -127,6 +132,7 @@ QUERIES: dict[str, Query] = {
     "op10_toxicity": op10_toxicity,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_html_extraction": op13_html_extraction,
     "pipeline": pipeline,
 }
 
