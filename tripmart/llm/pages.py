@@ -392,7 +392,7 @@ def _text_rows(schema: pa.Schema):
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
     # Stored, so that its size is known: Spark then broadcasts it, or shuffles if it is large.
-    noise = stored(noise_paths(style_tree(pages)), "page-noise")
+    noise = stored(noise_paths(stored(style_tree(pages), "style-tree")), "page-noise")
     id_type = pages.schema["page_id"].dataType.simpleString()
     fields = f"page_id {id_type}, url string, text string, n_chars long"
     schema = to_arrow_schema(pages.sparkSession.createDataFrame([], fields).schema)
