@@ -22,6 +22,7 @@ entries, gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import DenseMatrix
@@ -195,9 +196,11 @@ def whitened(
         return spark.createDataFrame([], RESULT.format(id_type))
     fit = distinct_vectors(vectors)
     n, sums, bound = _sums(fit, first[0])
-    blocks = _blocks(fit, n, sums)
+    # Grouping rows to blocks is dear, and three products read the blocks.
+    blocks = _blocks(fit, n, sums).persist(StorageLevel.MEMORY_AND_DISK)
     matrix, shares, real = _components(_scatter(blocks) / n, components)
     projected = stored(_projected(blocks, matrix), "projected")
+    blocks._java_matrix_wrapper._java_model.blocks().unpersist(False)
     error = _identity_error(projected, real)
 
     known = fit.select("index", "digest", "copies", _deviation(n, sums, bound).alias("deviation"))
