@@ -11,6 +11,7 @@ from tripmart.operators.cells import merge_cells, trip_cells
 from tripmart.operators.prepare import prepare
 from tripmart.plans import report
 from tripmart.plans.trip_view import order_line_trips
+from tripmart.sources.ledger import MonthRead
 from tripmart.sources.months import month_spine
 from tripmart.sources.tables import read_table
 
@@ -51,8 +52,10 @@ def test_a_shorter_range_reports_its_months_only(spark, tmp_path):
 def test_an_empty_month_gives_zero_rows_and_replaces_the_stored_one(spark, tmp_path):
     names, spine = zones(spark, (1, "B", "Z")), month_spine(spark, (2024, 1), (2024, 2))
     january, february = trips(spark, in_month(1)), trips(spark, in_month(2), in_month(2))
-    report.build_report(spark, [january, february], names, str(tmp_path), spine)
-    report.build_report(spark, [january, february.limit(0)], names, str(tmp_path), spine)
+    read = [MonthRead(2024, 1), MonthRead(2024, 2)]
+    report.build_report(spark, [january, february], names, str(tmp_path), spine, read=read)
+    empty = february.limit(0)
+    report.build_report(spark, [january, empty], names, str(tmp_path), spine, read=read)
     common, hours, months = totals(spark, tmp_path)
     assert months == {1: 1, 2: 0} and hours == 1 and int(common["valid_rows"]) == 1
 
