@@ -40,7 +40,7 @@ def test_null_tests_reach_the_scan(spark, tmp_path):
 
 
 def test_ship_dates_reach_the_scan(spark):
-    plan = plan_of(order_line_trips(spark, FOLDER, "1998-01-01", "1998-02-01"))
+    plan = plan_of(order_line_trips(spark, FOLDER, [("1998-01-01", "1998-02-01")]))
     assert "GreaterThanOrEqual(l_shipdate" in plan and "LessThan(l_shipdate" in plan
 
 
@@ -63,3 +63,15 @@ def test_median_scans_once(spark):
     final = plan_of(table).split("Initial Plan")[0]
     assert final.count("lineitem.parquet") == 1
     assert "ReusedExchange" in final
+
+
+def static_scans(table):
+    return table._jdf.queryExecution().optimizedPlan().toString().count("l_shipdate#") and sum(
+        "l_orderkey" in line and "Relation" in line
+        for line in table._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    )
+
+
+def test_reconciliation_scans_once(spark):
+    for name in ("reconcile_report", "reconcile_hour", "reconcile_zone", "reconcile_band_fares"):
+        assert static_scans(catalog.QUERIES[name](spark, FOLDER)) == 1, name

@@ -194,83 +194,72 @@ def _only_value(name: str) -> Column:
     return F.when(F.count(name) > 1, repeated).otherwise(F.max(name))
 
 
-def _report(
-    table: DataFrame,
+def _line(
+    metric: Column,
     left: Column,
     right: Column,
     difference: Column,
     rule: str,
     status: Column,
     hints: dict[str, str],
-) -> DataFrame:
-    hint = F.when(F.col("status") == PASS, "")
+) -> Column:
+    """One line of the report as a struct."""
+    hint = F.when(status == PASS, "")
     for name, text in hints.items():
-        hint = hint.when(F.col("status") == name, text)
-    return table.select(
-        "metric",
+        hint = hint.when(status == name, text)
+    return F.struct(
+        metric.alias("metric"),
         F.coalesce(left, F.lit(NOT_AVAILABLE)).alias("left_result"),
         F.coalesce(right, F.lit(NOT_AVAILABLE)).alias("right_result"),
         F.coalesce(difference, F.lit("")).alias("difference"),
         F.lit(rule).alias("rule"),
         status.alias("status"),
-    ).withColumn("explanation", hint.otherwise(""))
+        hint.otherwise("").alias("explanation"),
+    )
 
 
-def compare_counts(left: DataFrame | None, right: DataFrame | None) -> DataFrame | None:
-    """Exact comparison of counts keyed by metric: PASS, FAIL or PENDING."""
-    both = _pair(left, right, ["valid_rows"])
-    return both and counts_report(both)
+def _report(table: DataFrame, line: Column) -> DataFrame:
+    return table.select(line.alias("line")).select("line.*")
 
 
-def counts_report(both: DataFrame) -> DataFrame:
-    """The same for counts already side by side: metric, left_valid_rows, right_valid_rows."""
-    a, b = F.col("left_valid_rows").cast("bigint"), F.col("right_valid_rows").cast("bigint")
+def count_line(metric: Column, left: Column, right: Column) -> Column:
+    """Two counts, exactly: PASS, FAIL or PENDING."""
+    a, b = left.cast("bigint"), right.cast("bigint")
     status = F.when(a.isNull() | b.isNull(), PENDING).when(a == b, PASS).otherwise(FAIL)
-    return _report(
-        both,
-        a.cast("string"),
-        b.cast("string"),
-        (b - a).cast("string"),
-        ROWS_RULE,
-        status,
-        {
-            PENDING: "One side has no valid-row count for this period.",
-            FAIL: "Look at structural filtering and the source-month rule.",
-        },
+    hints = {
+        PENDING: "One side has no valid-row count for this period.",
+        FAIL: "Look at structural filtering and the source-month rule.",
+    }
+    return _line(
+        metric, a.cast("string"), b.cast("string"), (b - a).cast("string"), ROWS_RULE, status, hints
     )
 
 
-def _compare_ranked(
-    left: DataFrame | None,
-    right: DataFrame | None,
+def _ranked_line(
+    metric: Column,
+    left: tuple[Column, Column],
+    right: tuple[Column, Column],
     render,
     rule: str,
     mismatch: str,
     hints: dict[str, str],
-) -> DataFrame | None:
-    both = _pair(left, right, ["name", "trips"])
-    if both is None:
-        return None
-    missing = reduce(
-        lambda x, y: x | y,
-        [F.col(f"{side}_{part}").isNull() for side in ("left", "right") for part in ("name", "trips")],
-    )
-    same = (F.col("left_name") == F.col("right_name")) & (
-        F.col("left_trips") == F.col("right_trips")
-    )
+) -> Column:
+    """Two (name, trips) pairs; both parts must agree."""
+    missing = reduce(lambda x, y: x | y, [part.isNull() for part in (*left, *right)])
+    same = (left[0] == right[0]) & (left[1] == right[1])
 
-    def text(side: str) -> Column:
-        name, trips = F.col(f"{side}_name"), F.col(f"{side}_trips")
+    def text(name: Column, trips: Column) -> Column:
         return F.when(name.isNotNull() & trips.isNotNull(), render(name, trips))
 
     status = F.when(missing, PENDING).when(same, PASS).otherwise(mismatch)
     no_difference = F.lit(None).cast("string")
-    return _report(both, text("left"), text("right"), no_difference, rule, status, hints)
+    return _line(metric, text(*left), text(*right), no_difference, rule, status, hints)
 
 
-def compare_hours(left: DataFrame | None, right: DataFrame | None) -> DataFrame | None:
+def hour_line(metric: Column, left: tuple[Column, Column], right: tuple[Column, Column]) -> Column:
     """Hour and trips must both agree: PASS, FAIL or PENDING."""
-    return _compare_ranked(
+    return _ranked_line(
+        metric,
         left,
         right,
         lambda hour, trips: hour_with_trips(hour.cast("int"), trips),
@@ -280,9 +269,10 @@ def compare_hours(left: DataFrame | None, right: DataFrame | None) -> DataFrame
     )
 
 
-def compare_zones(left: DataFrame | None, right: DataFrame | None) -> DataFrame | None:
+def zone_line(metric: Column, left: tuple[Column, Column], right: tuple[Column, Column]) -> Column:
     """Zone and trips must both agree; a mismatch may be a tie, so REVIEW."""
-    return _compare_ranked(
+    return _ranked_line(
+        metric,
         left,
         right,
         name_with_trips,
@@ -295,6 +285,57 @@ def compare_zones(left: DataFrame | None, right: DataFrame | None) -> DataFrame
     )
 
 
+def band_line(band: Column, left: Column, right: Column, tolerance: float = TOLERANCE) -> Column:
+    """Two mean fares within an absolute tolerance: PASS, FAIL or REVIEW."""
+    a, b = left.cast("double"), right.cast("double")
+    gap = F.abs(a - b)
+    status = F.when(gap.isNull(), REVIEW).when(gap <= F.lit(tolerance), PASS).otherwise(FAIL)
+
+    def text(value: Column) -> Column:
+        return F.when(value.isNotNull(), F.format_string("%.6f", value))
+
+    metric = F.concat(F.lit(BAND_METRIC), band)
+    return _line(metric, text(a), text(b), text(gap), band_rule(tolerance), status, {})
+
+
+def pending_bands_line(tolerance: float = TOLERANCE) -> Column:
+    """The line for a band table that a side does not have."""
+    nothing = F.lit(None).cast("string")
+    hints = {PENDING: "One side has no distance-band result for this period."}
+    return _line(
+        F.lit(ALL_BANDS_METRIC), nothing, nothing, nothing, band_rule(tolerance), F.lit(PENDING), hints
+    )
+
+
+def compare_counts(left: DataFrame | None, right: DataFrame | None) -> DataFrame | None:
+    """Exact comparison of counts keyed by metric: PASS, FAIL or PENDING."""
+    both = _pair(left, right, ["valid_rows"])
+    return both and counts_report(both)
+
+
+def counts_report(both: DataFrame) -> DataFrame:
+    """The same for counts already side by side: metric, left_valid_rows, right_valid_rows."""
+    return _report(
+        both, count_line(F.col("metric"), F.col("left_valid_rows"), F.col("right_valid_rows"))
+    )
+
+
+def _compare_ranked(left: DataFrame | None, right: DataFrame | None, line) -> DataFrame | None:
+    both = _pair(left, right, ["name", "trips"])
+    if both is None:
+        return None
+    sides = [(F.col(f"{side}_name"), F.col(f"{side}_trips")) for side in ("left", "right")]
+    return _report(both, line(F.col("metric"), *sides))
+
+
+def compare_hours(left: DataFrame | None, right: DataFrame | None) -> DataFrame | None:
+    return _compare_ranked(left, right, hour_line)
+
+
+def compare_zones(left: DataFrame | None, right: DataFrame | None) -> DataFrame | None:
+    return _compare_ranked(left, right, zone_line)
+
+
 def band_fares(bands: DataFrame) -> DataFrame:
     return resolve_required(bands, "distance_band", "avg_fare")
 
@@ -308,15 +349,9 @@ def compare_band_fares(
         for prefix, side in (("left", left), ("right", right))
     ]
     both = sides[0].join(sides[1], "distance_band", "full_outer")
-    a, b = F.col("left_avg_fare").cast("double"), F.col("right_avg_fare").cast("double")
-    gap = F.abs(a - b)
-    status = F.when(gap.isNull(), REVIEW).when(gap <= F.lit(tolerance), PASS).otherwise(FAIL)
-    named = both.withColumn("metric", F.concat(F.lit(BAND_METRIC), F.col("distance_band")))
-
-    def text(value: Column) -> Column:
-        return F.when(value.isNotNull(), F.format_string("%.6f", value))
-
-    return _report(named, text(a), text(b), text(gap), band_rule(tolerance), status, {})
+    return _report(
+        both, band_line(F.col("distance_band"), F.col("left_avg_fare"), F.col("right_avg_fare"), tolerance)
+    )
 
 
 def band_rule(tolerance: float = TOLERANCE) -> str:
@@ -325,15 +360,7 @@ def band_rule(tolerance: float = TOLERANCE) -> str:
 
 def pending_bands(known: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     """One PENDING line for the band table a side does not have."""
-    return known.sparkSession.range(0, 1, 1, 1).select(
-        F.lit(ALL_BANDS_METRIC).alias("metric"),
-        F.lit(NOT_AVAILABLE).alias("left_result"),
-        F.lit(NOT_AVAILABLE).alias("right_result"),
-        F.lit("").alias("difference"),
-        F.lit(band_rule(tolerance)).alias("rule"),
-        F.lit(PENDING).alias("status"),
-        F.lit("One side has no distance-band result for this period.").alias("explanation"),
-    )
+    return _report(known.sparkSession.range(0, 1, 1, 1), pending_bands_line(tolerance))
 
 
 def reconcile(

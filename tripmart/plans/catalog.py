@@ -6,7 +6,6 @@ Each entry takes (spark, folder of Parquet tables) and returns a DataFrame.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +22,7 @@ from tripmart.operators import (
     rollup,
     scale,
     series,
+    sides,
     zones as zone_ops,
 )
 from tripmart.operators.cells import occupied, trip_cells
@@ -71,10 +71,18 @@ def _quality(spark: SparkSession, folder: str) -> DataFrame:
 
 def _of_period(spark: SparkSession, folder: str, period: tuple[int, int]) -> DataFrame:
     """Prepared trips of one period; only its ship dates are read."""
-    year, month = period
-    end = f"{year + month // 12}-{month % 12 + 1:02d}-01"
-    trips = order_line_trips(spark, folder, f"{year}-{month:02d}-01", end)
-    return in_period(prepare(trips), year, month)
+    return in_period(_of_periods(spark, folder, [period]), *period)
+
+
+def _of_periods(
+    spark: SparkSession, folder: str, periods: list[tuple[int, int]]
+) -> DataFrame:
+    """Prepared trips of some periods; only their ship dates are read."""
+    spans = [
+        (f"{year}-{month:02d}-01", f"{year + month // 12}-{month % 12 + 1:02d}-01")
+        for year, month in periods
+    ]
+    return prepare(order_line_trips(spark, folder, spans))
 
 
 # ---- sources and preparation -------------------------------------------------
@@ -270,42 +278,13 @@ def _known_on_other_side() -> Column:
     return F.coalesce("DOLocationID", F.lit(-1)) != UNKNOWN_ON_OTHER_SIDE
 
 
-def _right(prepared: DataFrame) -> DataFrame:
-    """The other result set: all the trips, but one drop-off location is not known there.
+def _two_sides(prepared: DataFrame) -> DataFrame:
+    """All trips, and a side that does not know one drop-off location.
 
     A trip without a drop-off location is not valid.
     """
-    known = _known_on_other_side()
-    return prepared.withColumns(
-        {
-            "DOLocationID": F.when(known, F.col("DOLocationID")),
-            "structurally_valid": F.col("structurally_valid") & known,
-        }
-    )
-
-
-def _summary_side(prepared: DataFrame, zones: DataFrame) -> reconcile.Side:
-    cells = demand.metric_cells(prepared)
-    return reconcile.Side(summary=demand.period_common_metrics(cells, zones))
-
-
-def _detail_side(prepared: DataFrame, zones: DataFrame) -> reconcile.Side:
-    """The same facts as detail tables only, under other accepted names."""
-    cells = trip_cells(prepared)
-    return reconcile.Side(
-        monthly=monthly.monthly_demand(
-            monthly.monthly_comparison(trip_cells(prepared))
-        ).withColumnRenamed("trip_count", "valid_rows"),
-        hourly=demand.hourly_counts(cells).toDF("hour", "trips"),
-        zones=zone_ops.zone_demand(cells, zones).toDF("pickup_Borough", "Zone", "trips"),
-    )
-
-
-def _period_sides(
-    spark: SparkSession, folder: str, period: tuple[int, int]
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    prepared = _of_period(spark, folder, period)
-    return prepared, _right(prepared), nation_zones(spark, folder)
+    valid = F.col("structurally_valid")
+    return sides.side_cells(prepared, valid, valid & _known_on_other_side())
 
 
 def period_select(spark: SparkSession, folder: str) -> DataFrame:
@@ -357,51 +336,62 @@ def reconcile_counts(spark: SparkSession, folder: str) -> DataFrame:
     return reconcile.counts_report(both)
 
 
-def _against_both(compare, side_of) -> Query:
-    """Left against right, and left against a period the right does not have."""
+def _both_periods(spark: SparkSession, folder: str) -> DataFrame:
+    """Both sides' facts of a period with trips and of one without, on one row."""
+    prepared = _of_periods(spark, folder, [PERIOD, NO_PERIOD])
+    facts = sides.side_facts(_two_sides(prepared), nation_zones(spark, folder))
+    return sides.on_one_row(facts, [PERIOD, NO_PERIOD])
 
-    def query(spark: SparkSession, folder: str) -> DataFrame:
-        left, right, zones = _period_sides(spark, folder, PERIOD)
-        nothing = _right(_of_period(spark, folder, NO_PERIOD))
-        this = side_of(_summary_side(left, zones))
-        reports = [
-            compare(this, side_of(_summary_side(other, zones))) for other in (right, nothing)
-        ]
-        return reports[0].unionByName(reports[1])
 
-    return query
+def _against_both(line) -> Query:
+    """Left against right, and left against a period the right does not have."""
+    return lambda spark, folder: sides.lines_of(
+        _both_periods(spark, folder), line(PERIOD, PERIOD), line(PERIOD, NO_PERIOD)
+    )
 
 
 def reconcile_band_fares(spark: SparkSession, folder: str) -> DataFrame:
-    left, right, _ = _period_sides(spark, folder, PERIOD)
-    tables = [
-        fares.period_distance_summary(trip_cells(side)) for side in (left, right)
-    ]
-    return reconcile.compare_band_fares(*tables)
+    row = _both_periods(spark, folder)
+    return row.select(F.inline(sides.band_lines(PERIOD)))
 
 
 def reconcile_fallback(spark: SparkSession, folder: str) -> DataFrame:
-    left, right, zones = _period_sides(spark, folder, PERIOD)
-    return reconcile.reconcile(
-        _summary_side(left, zones), _detail_side(right, zones), *PERIOD
-    ).filter(~F.col("metric").startswith("Average fare"))
+    """A summary against detail tables; both sides come from one exchange of cells."""
+    cells = _two_sides(_of_periods(spark, folder, [PERIOD]))
+    zones = nation_zones(spark, folder)
+    summary = sides.side_facts(cells, zones).select(
+        F.col("left_rows").alias("valid_rows"),
+        F.col("left_hour.pickup_hour").alias("busiest_pickup_hour"),
+        (-F.col("left_hour.order")).alias("busiest_pickup_hour_trips"),
+        F.col("left_zone.pickup_Zone").alias("top_pickup_zone"),
+        (-F.col("left_zone.order")).alias("top_pickup_zone_trips"),
+    )
+    own = cells.withColumnRenamed("right_trips", "trip_count")
+    numbers = F.split("period", "-")
+    monthly_rows = own.groupBy(
+        numbers[0].cast("int").alias("pickup_year"), numbers[1].cast("int").alias("pickup_month")
+    ).agg(F.sum("trip_count").alias("valid_rows"))
+    details = reconcile.Side(
+        monthly=monthly_rows,
+        hourly=demand.hourly_counts(own).toDF("hour", "trips"),
+        zones=zone_ops.zone_demand(own, zones).toDF("pickup_Borough", "Zone", "trips"),
+    )
+    return reconcile.reconcile(reconcile.Side(summary=summary), details, *PERIOD).filter(
+        ~F.col("metric").startswith("Average fare")
+    )
 
 
 def reconcile_report(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole report for a period both sides have and one neither has."""
-    reports = []
-    for period in (PERIOD, NO_PERIOD):
-        left, right, zones = _period_sides(spark, folder, period)
-        sides = []
-        for prepared in (left, right):
-            side = _summary_side(prepared, zones)
-            if period == PERIOD:
-                cells = trip_cells(prepared)
-                side = replace(side, bands=fares.period_distance_summary(cells))
-            sides.append(side)
-        label = F.lit("%d-%02d" % period).alias("period")
-        reports.append(reconcile.reconcile(*sides, *period).select(label, "*"))
-    return reports[0].unionByName(reports[1])
+    """The whole report for a period both sides have and one neither has, in one scan."""
+    prepared = _of_periods(spark, folder, [PERIOD, NO_PERIOD])
+    valid = F.col("structurally_valid")
+    return sides.reconcile_trips(
+        prepared,
+        nation_zones(spark, folder),
+        valid,
+        valid & _known_on_other_side(),
+        [PERIOD, NO_PERIOD],
+    )
 
 
 QUERIES: dict[str, Query] = {
@@ -453,8 +443,8 @@ QUERIES: dict[str, Query] = {
     "period_select": period_select,
     "resolve_columns": resolve_columns,
     "reconcile_counts": reconcile_counts,
-    "reconcile_hour": _against_both(reconcile.compare_hours, reconcile.side_busiest_hour),
-    "reconcile_zone": _against_both(reconcile.compare_zones, reconcile.side_top_zone),
+    "reconcile_hour": _against_both(sides.busiest_line),
+    "reconcile_zone": _against_both(sides.top_line),
     "reconcile_band_fares": reconcile_band_fares,
     "reconcile_fallback": reconcile_fallback,
     "reconcile_report": reconcile_report,

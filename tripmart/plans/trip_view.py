@@ -8,7 +8,9 @@ locations; they shape the data and select nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.sources.zones import zone_dimension
@@ -33,22 +35,24 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def order_line_trips(
     spark: SparkSession,
     folder: str,
-    first: str | None = None,
-    end: str | None = None,
+    spans: list[tuple[str, str]] | None = None,
     located: bool = True,
 ) -> DataFrame:
     """Trip rows with source_year / source_month.
 
-    ``first`` (inclusive) and ``end`` (exclusive) limit the ship dates, the way
-    a caller of monthly files passes only the months it needs; the range reaches
-    the Parquet scan.  ``located`` false leaves the pickup location null and spares
+    ``spans`` of dates, their ends excluded, limit the ship dates, the way a caller of
+    monthly files passes only the months it needs; they reach the Parquet scan.  ``located`` false leaves the pickup location null and spares
     the joins that find it.
     """
     lines = _table(spark, folder, "lineitem")
-    if first is not None:
-        lines = lines.filter(F.col("l_shipdate") >= F.lit(first).cast("timestamp_ntz"))
-    if end is not None:
-        lines = lines.filter(F.col("l_shipdate") < F.lit(end).cast("timestamp_ntz"))
+    if spans is not None:
+        shipped = F.col("l_shipdate")
+        within = [
+            (shipped >= F.lit(first).cast("timestamp_ntz"))
+            & (shipped < F.lit(end).cast("timestamp_ntz"))
+            for first, end in spans
+        ]
+        lines = lines.filter(reduce(Column.__or__, within))
     if not located:
         return _trips(lines.withColumn("c_nationkey", F.lit(None).cast("int")))
     # Orders meet their customers first: then the lines, the largest table, are
