@@ -4,6 +4,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from tests.rows import column, rows_of, trips, zones
 from tripmart.contract import DEFAULT
 from tripmart.operators import daytype, demand, fares, passengers, quality, series
@@ -239,3 +241,35 @@ def test_median_equals_brute_force(spark, values):
     histogram = spark.createDataFrame(rows, "k string, v double").groupBy("k", "v").count()
     result = fares.weighted_median(histogram, "k", "v", "count").collect()
     assert result[0]["median"] == pytest.approx(statistics.median(values), rel=1e-15)
+
+
+def test_median_of_values_close_together(spark):
+    """A million distinct values between two powers of two, apart in their last bits only."""
+    ids = spark.range(1_000_001).select(
+        F.lit("near").alias("k"), (F.lit(8.0) + F.col("id") * F.lit(2.0**-48)).alias("v"), F.lit(1).alias("n")
+    )
+    plan = fares.weighted_median(ids, "k", "v", "n")
+    assert plan.collect()[0]["median"] == 8.0 + 500_000 * 2.0**-48
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in text and "percentile" not in text
+
+
+def test_median_of_extreme_values(spark):
+    values = [5e-324, 2.2250738585072014e-308, 0.1, 1.0, 2.0 - 2**-52, 2.0, 1e300, 1.7976931348623157e308]
+    for kept in (values, values[1:], values[:5], [*values, float("inf")]):
+        table = spark.createDataFrame([("k", v, 1) for v in kept], "k string, v double, n int")
+        assert fares.weighted_median(table, "k", "v", "n").collect()[0]["median"] == statistics.median(kept)
+
+
+def test_summary_from_one_aggregate_equals_that_from_two(spark):
+    table = trips(
+        spark, {}, {"fare_amount": -2.0}, {"fare_amount": 3.5, "trip_distance": 1.0},
+        {"trip_distance": None, "fare_amount": None}, {"trip_distance": 30.0, "fare_amount": None},
+        {"DOLocationID": None}, {"fare_amount": 12.0, "total_amount": None},
+    )
+    cells = trip_cells(prepare(table))
+    one = rows_of(fares.distance_fares_in_one_scan(cells))
+    assert one == rows_of(fares.distance_fare_summary(cells, fares.fare_histogram(cells, ["distance_band"])))
+    assert [(r["trip_count"], r["median_valid_fare_amount"]) for r in one] == [
+        (1, 3.5), (3, 12.0), (0, None), (0, None), (1, None), (1, None),
+    ]

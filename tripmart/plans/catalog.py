@@ -220,8 +220,7 @@ def period_distance_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _distance_summary(spark: SparkSession, folder: str) -> DataFrame:
-    cells = _cells(spark, folder)
-    return fares.distance_fare_summary(cells, fares.fare_histogram(cells, ["distance_band"]))
+    return fares.distance_fares_in_one_scan(_cells(spark, folder))
 
 
 def band_median_fare(spark: SparkSession, folder: str) -> DataFrame:
