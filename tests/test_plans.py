@@ -74,3 +74,16 @@ def line_scans(table):
 def test_reconciliation_scans_once(spark):
     for name in ("reconcile_report", "reconcile_hour", "reconcile_zone", "reconcile_band_fares"):
         assert line_scans(catalog.QUERIES[name](spark, FOLDER)) == 1, name
+
+
+def test_months_and_their_spine_scan_once(spark):
+    for name in ("scale_sweep", "series_scale", "missing_months"):
+        table = catalog.QUERIES[name](spark, FOLDER)
+        table.collect()
+        final = plan_of(table).split("Initial Plan")[0]
+        assert final.count("lineitem.parquet") == 1, name
+
+
+def test_no_month_is_copied_to_the_scales(spark):
+    plan = plan_of(catalog.QUERIES["scale_sweep"](spark, FOLDER))
+    assert "Window" not in plan and "explode(array" not in plan.lower()

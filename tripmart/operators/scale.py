@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.contract import DEFAULT, TripContract
@@ -40,68 +40,85 @@ def scale_sweep(
 ) -> DataFrame:
     """For each scale N: valid rows and top zone of the first N spine months.
 
-    Each month is aggregated once.  A month row is then copied to every scale it
-    belongs to, which needs no range join: ``month_index`` tells the scales.
+    Each month is aggregated once, and no month is copied: a location's trips are summed up
+    to every scale side by side, then one row holds what the months and locations say of
+    each scale, and the scales are unpivoted from it.
     A scale that is missing a month is SKIPPED and names the first absent one.
     With ``whole_span`` all months of the spine are one more scale, however many
     they are.  Same-named locations compete separately, as in ``zone_demand_by_id``.
     """
-    scales = F.array(*[F.lit(scale) for scale in contract.scales])
-    if whole_span:
-        scales = F.array_union(scales, F.array("span"))
-    reach = F.filter(scales, lambda scale: scale >= F.col("month_index"))
+    # None stands for the whole span.
+    scales = [*contract.scales, *([None] if whole_span else [])]
+    index = F.col("month_index")
+
+    def within(scale: int | None, number: str = "month_index") -> Column:
+        return F.lit(True) if scale is None else F.col(number) <= F.lit(scale)
+
     file_name = F.format_string(
         label_format or contract.period_file_name, "source_year", "source_month"
     )
     by_location = merge_cells(cells, [*MONTH_KEYS, "PULocationID"], ["trip_count"])
+    wanted = spine if whole_span else spine.filter(within(max(contract.scales)))
     # The spine comes first so that absent months stay visible.
-    # A spine has a row per month, so its one window is small.
-    span = F.max("month_index").over(Window.partitionBy(F.lit(0)))
-    numbered = spine.withColumn("span", span if whole_span else F.lit(max(contract.scales)))
-    months = numbered.filter(F.col("month_index") <= F.greatest("span", F.lit(max(contract.scales)))).join(
-        by_location.withColumn("observed", F.lit(True)), MONTH_KEYS, "left"
-    )
+    # A copy of the month's number, which grouping sets leave as it is.
+    wanted = wanted.withColumn("number", index)
+    months = wanted.join(by_location.withColumn("observed", F.lit(True)), MONTH_KEYS, "left")
     month_keys = ["month_index", "month", "file"]
     grains = (
-        months.withColumns({"months": F.explode(reach), "file": file_name})
-        .groupingSets(
-            [("months", *month_keys), ("months", "PULocationID")],
-            "months",
-            *month_keys,
-            "PULocationID",
-        )
+        months.withColumn("file", file_name)
+        .groupingSets([tuple(month_keys), ("PULocationID",)], *month_keys, "PULocationID")
         .agg(
             F.coalesce(F.sum("trip_count"), F.lit(0)).alias("trip_count"),
             F.max("observed").alias("observed"),
-            F.max(F.col("months") == F.col("span")).alias("is_whole"),
             (F.grouping("month_index") == 0).alias("is_month"),
+            *[
+                F.sum(F.when(within(scale, "number"), F.col("trip_count"))).alias(f"reach_{place}")
+                for place, scale in enumerate(scales)
+            ],
         )
     )
     is_month, observed = F.col("is_month"), F.col("observed").isNotNull()
     month_row = F.struct(*month_keys)
-    # Named zones only; a missing borough sorts last.
-    rank = F.struct(
-        (-F.col("trip_count")).alias("order"),
-        F.col("pickup_Borough").isNull().alias("no_borough"),
-        "pickup_Borough",
-        "pickup_Zone",
-    )
-    per_scale = (
-        attach_zones(grains, zones)
-        .groupBy("months")
-        .agg(
-            F.sum(F.when(is_month, F.col("trip_count"))).alias("valid_rows"),
-            F.count_if(is_month & observed).alias("files_read"),
-            F.max("is_whole").alias("is_whole"),
-            F.min(F.when(is_month, month_row)).alias("first_month"),
-            F.max(F.when(is_month, month_row)).alias("last_month"),
-            F.min(F.when(is_month & ~observed, month_row)).alias("absent"),
-            F.min(F.when(~is_month & F.col("pickup_Zone").isNotNull(), rank)).alias("zone"),
+    found = [F.max(F.when(is_month, index)).alias("span")]
+    for place, scale in enumerate(scales):
+        trips = F.col(f"reach_{place}")
+        here = is_month & within(scale)
+        # Named zones only; a missing borough sorts last.
+        rank = F.struct(
+            (-trips).alias("order"),
+            F.col("pickup_Borough").isNull().alias("no_borough"),
+            "pickup_Borough",
+            "pickup_Zone",
         )
-    )
+        facts = {
+            "valid_rows": F.sum(F.when(here, F.col("trip_count"))),
+            "files_read": F.count_if(here & observed),
+            "first_month": F.min(F.when(here, month_row)),
+            "last_month": F.max(F.when(here, month_row)),
+            "absent": F.min(F.when(here & ~observed, month_row)),
+            "zone": F.min(F.when(~is_month & F.col("pickup_Zone").isNotNull() & (trips > 0), rank)),
+        }
+        found.append(
+            F.struct(*[fact.alias(name) for name, fact in facts.items()]).alias(f"scale_{place}")
+        )
+    row = attach_zones(grains, zones).agg(*found)
+    span = F.col("span") if whole_span else F.lit(max(contract.scales))
+
+    def line(place: int, scale: int | None) -> Column:
+        months_ = span if scale is None else F.lit(scale)
+        return F.struct(
+            months_.cast("int").alias("months"),
+            (months_ == span).alias("is_whole"),
+            F.col(f"scale_{place}").alias("of"),
+        )
+
+    lines = F.array(*[line(place, scale) for place, scale in enumerate(scales)])
+    # A span that is one of the scales is one line.
+    per_scale = row.select(F.inline(lines)).dropDuplicates(["months"])
+    per_scale = per_scale.filter(F.col("months").isNotNull()).select("months", "is_whole", "of.*")
     complete = F.col("files_read") == F.col("months")
     whole = F.col("is_whole")
-    span = F.concat_ws(WHOLE_SPAN, "first_month.month", "last_month.month")
+    period = F.concat_ws(WHOLE_SPAN, "first_month.month", "last_month.month")
     prefix = F.when(
         complete,
         F.format_string(COMPLETE_PREFIX, "months", F.col("first_month.month")),
@@ -112,7 +129,7 @@ def scale_sweep(
 
     return per_scale.orderBy("months").select(
         "months",
-        F.when(whole, span).otherwise(prefix).alias("period"),
+        F.when(whole, period).otherwise(prefix).alias("period"),
         F.when(complete, SUCCESS).otherwise(SKIPPED).alias("status"),
         if_complete(F.col("valid_rows")).alias("valid_rows"),
         if_complete(F.col("files_read")).alias("files_read"),

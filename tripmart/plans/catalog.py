@@ -60,6 +60,21 @@ def _cells(spark: SparkSession, folder: str) -> DataFrame:
     return trip_cells(_prepared(spark, folder))
 
 
+def _by_year(value: str, table_of=lambda table: table) -> Query:
+    """A monthly value with a column per year.
+
+    The columns of a table are known before it runs, so a job finds the years first; it
+    reads the ship dates alone, not the report.
+    """
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        years = _observed_months(spark, folder).select("source_year").distinct().collect()
+        table = table_of(_monthly(spark, folder))
+        return rounded(series.month_by_year(table, value, sorted(row[0] for row in years)))
+
+    return query
+
+
 def _monthly(spark: SparkSession, folder: str) -> DataFrame:
     return monthly.monthly_comparison(trip_cells(_prepared(spark, folder)))
 
@@ -120,9 +135,20 @@ def month_spine(spark: SparkSession, folder: str) -> DataFrame:
     return months.spine_between(months.calendar_year_bounds(_observed_months(spark, folder)))
 
 
+def _never_null(table: DataFrame) -> DataFrame:
+    """The table with month keys that the optimizer knows to be never null."""
+    return table.withColumns({name: F.coalesce(name, F.lit(0)) for name in months.MONTH_KEYS})
+
+
 def missing_months(spark: SparkSession, folder: str) -> DataFrame:
-    """Spine and anti join read one exchange of distinct months, so one scan."""
-    observed = _observed_months(spark, folder)
+    """Spine and anti join read one exchange of months, so one scan.
+
+    Months are never null; told so, the join adds no null test that would part the plans.
+    """
+    trips = order_line_trips(spark, folder, located=False)
+    counted = trips.groupBy(*months.MONTH_KEYS).agg(F.count("*").alias("raw_rows"))
+    # Every month passes; without its count the grouping would be dropped as needless.
+    observed = _never_null(counted.filter("raw_rows > 0"))
     spine = months.spine_between(months.calendar_year_bounds(observed))
     return months.missing_months(spine, observed).select(spine.columns)
 
@@ -260,11 +286,13 @@ def rollup_merge(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def scale_sweep(spark: SparkSession, folder: str) -> DataFrame:
-    cells = scale.scale_cells(_prepared(spark, folder))
+    cells = _never_null(scale.scale_cells(_prepared(spark, folder)))
     return scale.scale_sweep(
         cells,
         nation_zones(spark, folder),
-        month_spine(spark, folder),
+        # From the cells' own months, by a test that all cells pass: it keeps their counts in
+        # the plan of the spine, so that both read one exchange.
+        months.spine_between(months.calendar_year_bounds(cells.filter("trip_count >= 0"))),
         label_format="%d-%02d",
         whole_span=True,
     )
@@ -453,17 +481,9 @@ QUERIES: dict[str, Query] = {
     "series_daytype_hourly": _on_cells(
         lambda cells: series.daytype_hourly(daytype.weekday_weekend_hourly(cells))
     ),
-    "series_month_volume": _on_monthly(
-        lambda table: series.month_by_year(table, "trip_count")
-    ),
-    "series_month_avg_daily": _on_monthly(
-        lambda table: series.month_by_year(
-            monthly.with_daily_average(table), "avg_daily_trips"
-        )
-    ),
-    "series_month_fare": _on_monthly(
-        lambda table: series.month_by_year(table, "avg_valid_fare_amount")
-    ),
+    "series_month_volume": _by_year("trip_count"),
+    "series_month_avg_daily": _by_year("avg_daily_trips", monthly.with_daily_average),
+    "series_month_fare": _by_year("avg_valid_fare_amount"),
     "series_cbd_share": _on_monthly(series.cbd_share),
     "series_scale": lambda spark, folder: series.successful_scales(scale_sweep(spark, folder)),
 }
