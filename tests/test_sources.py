@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.rows import TYPICAL, column, rows_of, trips, zones
 from tripmart.operators.prepare import in_period, prepare
+from tripmart.sources import footers
 from tripmart.sources.months import missing_months, month_spine, require_months
 from tripmart.sources.tables import read_table, write_table
 from tripmart.sources.trips import (
@@ -16,6 +18,7 @@ from tripmart.sources.trips import (
     period_columns,
     period_of,
     read_trips,
+    scan_months,
 )
 from tripmart.sources.zones import assert_unique_key, dim_key_violations, read_zones
 
@@ -172,3 +175,57 @@ def test_tables_round_trip(spark, tmp_path):
     assert read_table(spark, path).columns == ["b", "n", "x"]
     with pytest.raises(AnalysisException):
         read_table(spark, f"{tmp_path}/absent")
+
+
+def test_one_scan_for_all_months(spark, tmp_path):
+    months = [f"20{20 + k // 12}-{k % 12 + 1:02d}" for k in range(24)]
+    paths = [write_month(tmp_path, month) for month in months]
+    table = scan_months(spark, paths)
+    assert table.dtypes == read_trips(spark, paths).dtypes
+    assert sorted(table.collect()) == sorted(read_trips(spark, paths).collect())
+    plan = lambda n: scan_months(spark, paths[:n])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan(24).count("Relation") == plan(2).count("Relation") == 2
+    assert len(plan(24).splitlines()) == len(plan(2).splitlines())
+
+
+def test_one_scan_converts_and_checks_as_the_others_do(spark, tmp_path):
+    folder = tmp_path / "a b%20c"
+    folder.mkdir()
+    paths = [
+        write_month(folder, "2024-01"),
+        write_month(folder, "2024-02", PULocationID=pa.array(["11"], pa.string())),
+    ]
+    assert sorted(scan_months(spark, paths).collect()) == sorted(read_trips(spark, paths).collect())
+    with pytest.raises(ContractError, match="fare_amount"):
+        scan_months(spark, [*paths, write_month(folder, "2024-03", fare_amount=None)])
+
+
+def test_every_file_of_a_month_is_checked_in_one_job(spark, tmp_path):
+    month = tmp_path / "yellow_tripdata_2024-01.parquet"
+    month.mkdir()
+    source = write_month(tmp_path, "2024-05")
+    for k in range(300):
+        os.link(source, month / f"part-{k:05d}.parquet")
+    spark.sparkContext.setJobGroup("footers", "footers of a month")
+    assert read_trips(spark, [str(month)]).count() == 300
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("footers")
+    spark.sparkContext._jsc.clearJobGroup()
+    assert len(jobs) <= 6
+    odd = write_month(tmp_path, "2024-06", PULocationID=pa.array(["11"], pa.string()))
+    os.link(odd, month / "part-00999.parquet")
+    assert sorted(set(column(read_trips(spark, [str(month)]), "PULocationID"))) == [7, 11]
+    os.link(write_month(tmp_path, "2024-07", tip_amount=None), month / "part-01000.parquet")
+    with pytest.raises(ContractError, match="part-01000.*tip_amount"):
+        read_trips(spark, [str(month)])
+
+
+def test_files_that_tasks_cannot_open_are_read_by_spark(spark, tmp_path, monkeypatch):
+    path = write_month(tmp_path, "2024-01", fare_amount=pa.array(["3.5"], pa.string()))
+    monkeypatch.setattr(footers, "_footer_rows", lambda wanted: unread_footers)
+    assert column(read_trips(spark, [path]), "fare_amount") == [3.5]
+
+
+def unread_footers(batches):
+    for batch in batches:
+        nothing = pa.nulls(batch.num_rows, pa.string())
+        yield pa.RecordBatch.from_arrays([batch.column(0), nothing], names=["path", "schema"])

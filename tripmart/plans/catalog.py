@@ -121,9 +121,11 @@ def source_period(spark: SparkSession, folder: str) -> DataFrame:
     names = trips.select(
         F.format_string(DEFAULT.period_file_name, "source_year", "source_month").alias("file_name")
     )
+    # As the readers do: the period is parsed once a file, not once a row.
+    files = names.groupBy("file_name").agg(F.count("*").alias("raw_rows"))
     year, month = period_columns(F.col("file_name"))
-    periods = names.select(year.alias("source_year"), month.alias("source_month"))
-    return periods.groupBy("source_year", "source_month").agg(F.count("*").alias("raw_rows"))
+    periods = files.select(year.alias("source_year"), month.alias("source_month"), "raw_rows")
+    return periods.groupBy("source_year", "source_month").agg(F.sum("raw_rows").alias("raw_rows"))
 
 
 def _observed_months(spark: SparkSession, folder: str) -> DataFrame:

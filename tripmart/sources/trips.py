@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
@@ -13,13 +12,15 @@ from pyspark.sql import types as T
 
 from tripmart.contract import DEFAULT, TripContract
 from tripmart.functions.clean import actual_names, as_bigint, as_double, as_wall_clock
+from tripmart.sources.footers import file_table, month_schemas
 
 #: Physical types the Parquet reader itself widens to the contract type.
 _WIDENS_TO_BIGINT = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _WIDENS_TO_DOUBLE = (T.ByteType, T.ShortType, T.IntegerType, T.FloatType, T.DoubleType)
 
 
-_FOOTER_READERS = 8
+#: Files whose periods may be broadcast, some 200 bytes each.
+_BROADCAST_FILES = 100_000
 
 
 class ContractError(ValueError):
@@ -46,7 +47,7 @@ def period_columns(path: Column, contract: TripContract = DEFAULT) -> tuple[Colu
     """The same as columns, for any frame that carries a path or file name.
 
     A name without a period fails the query instead of yielding null.  Matching
-    a pattern per row is slow; ``read_trips`` labels files before reading them.
+    a pattern per row is slow; the readers apply it once a file.
     """
 
     def part(group: int) -> Column:
@@ -104,13 +105,35 @@ def _reader_widens(schema: T.StructType, contract: TripContract) -> bool:
     )
 
 
-def _footers(spark: SparkSession, path: str) -> list[tuple[str, T.StructType]]:
-    """Each file of a month with the schema in its footer (one file: the path itself)."""
-    month = spark.read.parquet(path)
-    files = month.inputFiles()
-    if len(files) < 2:
-        return [(path, month.schema)]
-    return [(file, spark.read.parquet(file).schema) for file in map(unquote, files)]
+def _scans(
+    spark: SparkSession, paths: list[str], contract: TripContract
+) -> list[tuple[tuple[int, int], T.StructType, list[str]]]:
+    """What to read: (month, schema, paths), after a look at the footers of all files.
+
+    Files that lack a required column are an error, not a column of nulls.  Files whose
+    physical types the Parquet reader can widen are read under the contract schema (so a
+    column may be spelled in any case, and an optional one may be absent).
+    """
+    of_month: dict[tuple[int, int], list[str]] = {}
+    for path in paths:
+        of_month.setdefault(period_of(path, contract), []).append(path)
+    found = month_schemas(spark, paths, period_columns(F.col("path"), contract), contract)
+    scans = []
+    for period, given in of_month.items():
+        read_as: dict[str, tuple[T.StructType, list[str] | None]] = {}
+        for schema, files, one in found.get(period, []):
+            check_columns(schema.names, contract, unquote(one))
+            if _reader_widens(schema, contract):
+                schema = contract_schema(contract)
+            key = schema.json()
+            held = read_as.get(key, (schema, []))[1]
+            read_as[key] = (schema, None if files is None else [*(held or []), *files])
+        if len(read_as) == 1:
+            read_as = {key: (schema, None) for key, (schema, _) in read_as.items()}
+        # A month without files, a directory that holds none, has no rows.
+        for schema, files in read_as.values() or [(contract_schema(contract), None)]:
+            scans.append((period, schema, given if files is None else [unquote(f) for f in files]))
+    return scans
 
 
 def read_months(
@@ -123,39 +146,48 @@ def read_months(
     removes the other months' scans from the plan; deriving the period from the
     file path of every row costs several times the rest of the scan.
 
-    Only footers are read here, of every file of a month that is a directory: one that
-    lacks a required column is an error, not a column of nulls.  Files whose physical types the Parquet reader
-    can widen are read under the contract schema (so a column may be spelled in
-    any case, and an optional one may be absent); other files are read as they
-    are and converted column by column.
+    Only footers are read here, in one job for all files of all months.  Files whose types
+    the Parquet reader cannot widen are read as they are and converted column by column.
     """
-    periods = [period_of(path, contract) for path in paths]
-    with ThreadPoolExecutor(_FOOTER_READERS) as pool:
-        footers = list(pool.map(lambda path: _footers(spark, path), paths))
-    members: dict[tuple[tuple[int, int], str], list[str]] = {}
-    by_key: dict[str, T.StructType] = {}
-    for path, period, files in zip(paths, periods, footers, strict=True):
-        read_as = {}
-        for file, schema in files:
-            check_columns(schema.names, contract, file)
-            if _reader_widens(schema, contract):
-                schema = contract_schema(contract)
-            by_key[schema.json()] = schema
-            read_as[file] = schema.json()
-        if len(set(read_as.values())) == 1:
-            read_as = {path: next(iter(read_as.values()))}
-        for file, key in read_as.items():
-            members.setdefault((period, key), []).append(file)
-
     scans = []
-    for (period, key), files in members.items():
+    for period, schema, files in _scans(spark, paths, contract):
         year, month = (F.lit(number) for number in period)
-        scan = spark.read.schema(by_key[key]).parquet(*files)
+        scan = spark.read.schema(schema).parquet(*files)
         labelled = scan.withColumns({"source_year": year, "source_month": month})
         scans.append(typed_trips(labelled, contract))
     return scans
 
 
+def scan_months(
+    spark: SparkSession, paths: list[str], contract: TripContract = DEFAULT
+) -> DataFrame:
+    """All months in one scan for each way their files are read: the plan does not grow with them.
+
+    For reports over all of many months; ``read_trips`` prunes better by period.  The period
+    is parsed once a file and joined by the path that a scan tells of its rows.  Spark
+    broadcasts that table of files while it is small.
+    """
+    year, month = period_columns(F.col("path"), contract)
+    periods = file_table(spark, paths).select(
+        F.col("path").alias("own_path"), year.alias("source_year"), month.alias("source_month")
+    )
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for _, schema, files in _scans(spark, paths, contract):
+        groups.setdefault(schema.json(), (schema, []))[1].extend(files)
+    scans = []
+    for schema, files in groups.values():
+        scan = spark.read.schema(schema).parquet(*files)
+        named = scan.select("*", F.col("_metadata.file_path").alias("own_path"))
+        scans.append(typed_trips(named.join(_sized(periods), "own_path"), contract))
+    return reduce(DataFrame.unionByName, scans)
+
+
+def _sized(periods: DataFrame) -> DataFrame:
+    """The table of files, marked for broadcast if it has few rows."""
+    small = periods.limit(_BROADCAST_FILES + 1).count() <= _BROADCAST_FILES
+    return F.broadcast(periods) if small else periods
+
+
 def read_trips(
     spark: SparkSession, paths: list[str], contract: TripContract = DEFAULT
 ) -> DataFrame:
