@@ -1,5 +1,6 @@
 """BPE, decontamination, language, resampling, LM scores, pseudonyms and toxicity."""
 
+from types import SimpleNamespace
 import random
 import re
 from pathlib import Path
@@ -181,7 +182,7 @@ def test_every_labelled_language_is_learnt(spark):
     rows += [(3000 + i, f"перо слово мир {i}", f"rare{i % 2}") for i in range(12)]
     rows += [(4000, "long " * 20, "long")]
     table_of = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    settings = language.Settings(sample_rows=8, sample_chars=40, buckets=256)
+    settings = language.Settings(sample_rows=8, buckets=256)
     assert language.fitted(table_of, settings, None).languages == ["en", "long", "rare0", "rare1"]
     known = table_of.select("doc_id", "lang")
     sizes = {r.lang: r["count"] for r in language._chosen(known, 5).groupBy("lang").count().collect()}
@@ -359,3 +360,21 @@ def test_nothing_else_imports_the_text_operators():
     for path in (root / "tripmart").rglob("*.py"):
         if "llm" not in path.parts:
             assert "llm" not in path.read_text()
+
+
+def test_numerals_are_no_letters(spark):
+    sample = [(k, f"the word {k} and the house of it", "en") for k in range(1, 60)]
+    sample += [(k, f"und das Haus {k} der Wörter ist", "de") for k in range(60, 120)]
+    asked = [(1000, "½ ① ² Ⅷ", None), (1001, "12 3.5 ٣", None), (1002, "", None), (1003, "Ⅷ haus", None)]
+    docs = spark.createDataFrame(sample + asked, "doc_id long, text string, lang string")
+    found = {r.doc_id: r.lang_pred for r in language.languages(docs, language.fitted(docs)).collect()}
+    assert [found[k] for k in (1000, 1001, 1002)] == ["und"] * 3
+    assert found[1003] == "de"
+
+
+def test_labelled_texts_are_learnt_whole():
+    """A word beyond any prefix decides."""
+    rows = [("x " * 60_000 + "zebra", "aa"), ("x " * 60_000 + "quagga", "bb")] * 20
+    model = language.train(iter([SimpleNamespace(text=t, lang=lang) for t, lang in rows]), language.Settings())
+    labeller = language.Labeller(model)
+    assert [one[0] for one in labeller.label(["zebra", "quagga"])] == ["aa", "bb"]

@@ -20,6 +20,7 @@ columns are ignored.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -32,7 +33,11 @@ from tripmart.llm.common import fold, text_chunks, texts
 
 UNKNOWN = "und"
 FOLDS, HELD_OUT = 5, 0
-WORD = re.compile(r"[^\W\d_]+")
+#: Numerals that are no decimal digits count as word characters for ``re``, but are no letters.
+NUMERALS = "".join(
+    c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal()
+)
+WORD = re.compile(rf"[^\W\d_{NUMERALS}]+")
 BATCH_CHARS = 8_000_000
 #: First code points of script ranges (Unicode blocks), each up to the next.
 SCRIPT_STARTS = np.array(
@@ -49,8 +54,6 @@ class Settings:
 
     #: Of each language.
     sample_rows: int = 5000
-    #: Longer labelled texts are cut in the sample (never in the predictions).
-    sample_chars: int = 40_000
     buckets: int = 1 << 16
     orders: tuple[int, ...] = (1, 2, 3, 4)
     smoothing: float = 0.5
@@ -135,7 +138,6 @@ def fitted(
         F.col("lang").cast("string").alias("lang"),
         F.col("text").cast("string").alias("text"),
     ).filter("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
-    known = known.withColumn("text", F.substring("text", 1, settings.sample_chars))
     if exclude:
         known = known.filter(fold("doc_id", exclude[0]) != exclude[1])
     sample = known.join(_chosen(known, settings.sample_rows), ["doc_id", "lang"])
