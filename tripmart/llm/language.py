@@ -20,7 +20,6 @@ columns are ignored.
 from __future__ import annotations
 
 import re
-import sys
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -33,11 +32,7 @@ from tripmart.llm.common import fold, text_chunks, texts
 
 UNKNOWN = "und"
 FOLDS, HELD_OUT = 5, 0
-#: Numerals that are no decimal digits count as word characters for ``re``, but are no letters.
-NUMERALS = "".join(
-    c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal()
-)
-WORD = re.compile(rf"[^\W\d_{NUMERALS}]+")
+WORD = re.compile(r"[^\W\d_]+")
 BATCH_CHARS = 8_000_000
 #: First code points of script ranges (Unicode blocks), each up to the next.
 SCRIPT_STARTS = np.array(
@@ -48,6 +43,19 @@ SCRIPT_STARTS = np.array(
 )
 
 
+def words_of(text: str) -> list[str]:
+    """Lower-case words of letters alone."""
+    words = words_of(text)
+    if all(map(str.isalpha, words)):
+        return words
+    # Numerals that are no decimal digits are word characters, but no letters.
+    return [
+        part
+        for word in words
+        for part in "".join(c if c.isalpha() else " " for c in word).split()
+    ]
+
+
 @dataclass(frozen=True)
 class Settings:
     """Bounds of the labelled sample and parameters of the scores."""
@@ -109,7 +117,7 @@ def train(rows: Iterable, settings: Settings = Settings()) -> Model:
     for row in rows:
         if row.lang not in held:
             held[row.lang] = np.zeros(settings.buckets), np.zeros(len(SCRIPT_STARTS))
-        words = WORD.findall(row.text.lower())
+        words = words_of(row.text)
         if words:
             hashes, _ = _grams(words, settings)
             first = np.array([ord(word[0]) for word in words])
@@ -207,7 +215,7 @@ class Labeller:
             numbers = self.numbers
         lines, letters, new = [], [], []
         for text in held:
-            words = WORD.findall(text.lower())
+            words = words_of(text)
             for word in set(words).difference(numbers):
                 numbers[word] = len(numbers)
                 new.append(word)
