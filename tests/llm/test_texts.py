@@ -233,31 +233,25 @@ def test_resampling_of_ties_and_no_labels(spark, labels):
     assert resample.resampled(docs.limit(0), labels).count() == 0
 
 
-def test_lm_prefers_the_corpus_to_shuffled_text(spark, docs):
-    rng = random.Random(2)
-    settings = pseudolm.Settings(every=1, rounds=1)
-    words = pseudolm.vocabulary(docs, settings)
-    counts = pseudolm.Counter(
+def test_lm_learns_word_order(docs):
+    settings = pseudolm.Settings()
+    counts = pseudolm.word_counts(docs, settings)
+    words = pseudolm.vocabulary(counts, settings)
+    plain = pseudolm.Counter(
         w for r in docs.collect() for w in pseudolm.WORD.findall((r.text or "").lower())
     )
-    ranked = sorted(counts, key=lambda w: (-counts[w], w))[: settings.size - settings.shared]
-    assert words == ranked
-    network = pseudolm.trained(docs, words, settings)
-    numbers = pseudolm.Numbers(words, settings)
-    line = numbers.of(" ".join(r.text for r in docs.limit(50).collect()))
-    mixed = rng.sample(line.tolist(), len(line))
-    value = [network.log_probabilities(*network.windows([np.array(x)])).mean() for x in (line, mixed)]
+    assert {r.word: r.n for r in counts.collect()} == plain
+    assert words == sorted(plain, key=lambda w: (-plain[w], w))[: settings.other]
+    letters = pseudolm.spelling(counts, words)
+    lines = pseudolm.encoded(docs, words, settings, letters)
+    network = pseudolm.trained(lines, settings)
+    line = pseudolm.Numbers(words, settings, letters).of(" ".join(r.text for r in docs.limit(50).collect()))[0]
+    mixed = np.array(random.Random(4).sample(line.tolist(), len(line)))
+    value = [network.log_probabilities(*network.windows([x])).mean() for x in (line, mixed)]
     assert value[0] > value[1]
     assert value[0] > -np.log(settings.size)
 
 
-def test_lm_trains_on_every_document_in_each_round():
-    settings = pseudolm.Settings()
-    texts = [f"text {k}" for k in range(200)]
-    for turn in range(settings.rounds):
-        assert all(pseudolm._chosen(text, settings, turn) for text in texts)
-
-
 def test_lm_probabilities_sum_to_one():
     settings = pseudolm.Settings(classes=3, per_class=4, shared=2)
     network = pseudolm.new_network(settings)
@@ -266,10 +260,77 @@ def test_lm_probabilities_sum_to_one():
     assert abs(total - 1) < 1e-5
 
 
+def test_lm_probabilities_equal_a_plain_loop():
+    settings = pseudolm.Settings(classes=3, per_class=4, shared=3, hidden=5, batch=7)
+    network = pseudolm.new_network(settings)
+    lines = [np.array([0, 9, 3, 11, 10, 2, 2]), np.array([], int), np.array([8]), np.arange(12)]
+
+    def share(logits, k):
+        return logits[k] - np.log(np.exp(logits).sum())
+
+    expected = []
+    for line in lines:
+        for at, token in enumerate(np.minimum(line, settings.other)):
+            total = network.bias.astype(float)
+            for table, step in zip(network.near, settings.places, strict=True):
+                inside = 0 <= at + step < len(line)
+                total = total + table[line[at + step] if inside else settings.size]
+            own, within = divmod(int(token), settings.per_class)
+            hidden = np.tanh(total)
+            first = share(hidden @ network.to_class + network.class_bias, own)
+            expected.append(first + share(hidden @ network.to_word[own] + network.word_bias[own], within))
+    found = network.log_probabilities(*network.windows(lines))
+    assert np.allclose(found, expected, atol=1e-5)
+
+
+def test_lm_step_follows_the_slope():
+    """Small steps against the slope raise the likelihood of their own batch."""
+    settings = pseudolm.Settings(classes=3, per_class=4, shared=2, hidden=5, step=0.01)
+    network = pseudolm.new_network(settings)
+    tokens, around = network.windows([np.random.default_rng(1).integers(0, 12, 300)])
+    before = network.log_probabilities(tokens, around).mean()
+    for _ in range(20):
+        network.learn(tokens, around)
+    assert network.log_probabilities(tokens, around).mean() > before
+
+
+def test_lm_spells_other_words(spark):
+    """The bytes after every context are a distribution; a spelling seen often is likelier."""
+    rows = [("the", 50), ("tionou", 9), ("tionen", 8), ("\u00e9t\u00e9", 1)]
+    counts = spark.createDataFrame(rows, "word string, n long")
+    letters = pseudolm.spelling(counts, ["the"])
+    sums = np.exp(letters.astype(float)).reshape(-1, 256).sum(axis=1)
+    assert np.allclose(sums, 1, atol=1e-4)
+    numbers = pseudolm.Numbers(["the"], pseudolm.Settings(), letters)
+    assert numbers.spell("tionou") > numbers.spell("oitnuo")
+    line, spelt = numbers.of("the tionou oitnuo the")
+    assert line[0] == line[3] == 0 and min(line[1:3]) >= numbers.settings.other
+    assert np.isclose(spelt, numbers.spell("tionou") + numbers.spell("oitnuo"))
+
+
+@pytest.fixture(scope="module")
+def lm_scores(docs):
+    settings = pseudolm.Settings(shard_tokens=60_000)
+    return lambda parts: {
+        (r.doc_id, r.n_tokens): r.log_likelihood
+        for r in pseudolm.document_scores(docs.repartition(parts), settings).collect()
+    }
+
+
+def test_lm_scores_do_not_depend_on_partitions(lm_scores):
+    one = lm_scores(1)
+    for parts in (4, 16):
+        other = lm_scores(parts)
+        assert one.keys() == other.keys()
+        assert all(np.isclose(one[key], other[key], rtol=1e-5) for key in one)
+
+
 def test_lm_of_odd_texts(spark):
     rows = pseudolm.document_scores(table(spark, ODD)).collect()
     assert len(rows) == len(ODD)
     assert all(r.mean_log_likelihood is None and r.log_likelihood == 0 for r in rows if not r.n_tokens)
+    assert sorted(r.n_tokens for r in rows if r.doc_id in (2, 5, 6, 7)) == [0, 2, 2, 4, 30_000]
+    assert pseudolm.document_scores(table(spark, [])).count() == 0
 
 
 VALUES = {

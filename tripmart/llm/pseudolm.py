@@ -1,20 +1,27 @@
 """Documents scored by masked pseudo-likelihood of a bidirectional window network.
 
-Each token is hidden in turn and predicted from the words on both sides: tables of the
-neighbours' vectors, one for each place, are added, a tanh layer follows, and a
-two-level softmax gives first the token's class and then the token within it.  A
-document's score is the sum of the log-probabilities of all its tokens.
-
-The vocabulary comes from word counts over all documents.  The network is trained in
-numpy where the data lie: in each round every task takes steps over all of its
-documents, and the tasks' parameters are averaged by their numbers of tokens
-(in Spark, slice by slice).  Work and shuffled counts grow with the corpus; the model,
-the only thing broadcast, has a fixed size.
-
-Defined cases: a null or empty text, and one without words, has no tokens and score 0
-(its mean is null); words outside the vocabulary share hashed entries; places beyond
-the text's ends read a mark of their own; repeated rows get equal scores; an empty table
-gives an empty result; other columns are ignored.
+Each token (a word or a sign) is hidden in turn and predicted from the tokens on both
+sides: tables of the neighbours' vectors, one for each place, are added, a tanh layer
+follows, and a two-level softmax gives first the token's class and then the token within
+it.  A document's score is the sum of the log-probabilities of all its tokens.
+
+The most frequent words of all documents have entries of their own.  Any other word is
+predicted as "another word" by the network and then letter by letter, to its end, by a
+model of the bytes of all such words of the corpus, so that no two words are the same to
+the score.  As neighbours, other words share hashed entries.
+
+Documents are encoded once, to a stored table of numbers.  They are dealt to shards by
+a hash of id and content; the number of shards follows the tokens, the rows of a shard are
+sorted, and every shard trains the network in numpy with one pass over all its
+documents.  Parameters are averaged as fixed-point numbers in Spark, slice by slice.  So
+the network depends neither on partitions nor on the order of sums; scores differ between
+layouts by the rounding of 32-bit products alone.  Work, counts and shards grow with the
+corpus; what is broadcast (network, words, bytes) has a fixed size.
+
+Defined cases: a null or empty text, and one of white space alone, has no tokens and score
+0 (its mean is null); places beyond the text's ends read a mark of their own; repeated rows
+get equal scores, and train apart if their ids differ (rows equal in id and text share a
+shard); an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,22 +39,22 @@ from pyspark.sql import functions as F
 
 from tripmart.llm.common import stored, text_chunks, texts
 
-WORD = re.compile(r"\w+")
+WORD = re.compile(r"\w+|[^\w\s]")
 
 
 @dataclass(frozen=True)
 class Settings:
-    classes: int = 32
-    per_class: int = 32
-    #: Entries of the vocabulary that words outside it share.
+    classes: int = 48
+    per_class: int = 48
+    #: Entries that words outside the vocabulary share as neighbours; the first stands
+    #: for all of them where they are predicted.
     shared: int = 64
     reach: int = 2
-    hidden: int = 24
-    rounds: int = 2
-    #: One document of so many trains the network in a round; 1 is all of them.
-    every: int = 1
-    step: float = 0.5
-    batch: int = 1024
+    hidden: int = 16
+    step: float = 0.2
+    batch: int = 8192
+    #: Tokens of a shard; their number over the corpus gives the number of shards.
+    shard_tokens: int = 8_000_000
     seed: int = 5
     counted_words: int = 200_000
 
@@ -55,12 +62,26 @@ class Settings:
     def size(self) -> int:
         return self.classes * self.per_class
 
+    @property
+    def other(self) -> int:
+        """The entry of words outside the vocabulary, and the first of their shared ones."""
+        return self.size - self.shared
+
     @property
     def places(self) -> list[int]:
         return [k for k in range(-self.reach, self.reach + 1) if k]
 
 
 SLICE = 64
+#: Parameters are summed as whole multiples of this.
+UNIT = 2.0**-32
+#: Tokens that a task trains on or scores at once.
+HELD_TOKENS = 262_144
+
+#: Bytes that UTF-8 never has: before a word and at its end.
+START, END = 0xFF, 0xFE
+CONTEXTS = 4096
+SMOOTHING = 4.0
 
 
 def _count_batches(settings: Settings):
@@ -84,8 +105,8 @@ def _count_batches(settings: Settings):
     return count
 
 
-def vocabulary(docs: DataFrame, settings: Settings) -> list[str]:
-    """The most frequent words of all documents, by count and then by text."""
+def word_counts(docs: DataFrame, settings: Settings) -> DataFrame:
+    """word and n of every word of the documents, stored."""
     counts = (
         texts(docs)
         .select("text")
@@ -93,29 +114,124 @@ def vocabulary(docs: DataFrame, settings: Settings) -> list[str]:
         .groupBy("word")
         .agg(F.sum("n").alias("n"))
     )
-    top = counts.orderBy(F.desc("n"), "word").limit(settings.size - settings.shared)
+    return stored(counts, "words")
+
+
+def vocabulary(counts: DataFrame, settings: Settings) -> list[str]:
+    """The most frequent words of all documents, by count and then by text."""
+    top = counts.orderBy(F.desc("n"), "word").limit(settings.other)
     return [row.word for row in top.collect()]
 
 
+def _context(before: int, last: int) -> int:
+    return (before * 59 + last) % CONTEXTS
+
+
+def _spelling_batches(words: list[str]):
+    known = set(words)
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CONTEXTS * 256, np.int64)
+        for batch in batches:
+            rare = [
+                (word.encode("utf-8", "surrogatepass"), n)
+                for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+                if word not in known
+            ]
+            if not rare:
+                continue
+            line = np.frombuffer(b"".join(b"\xff\xff" + word + b"\xfe" for word, _ in rare), np.uint8)
+            line = line.astype(np.int64)
+            weight = np.repeat([n for _, n in rare], [len(word) + 3 for word, _ in rare])
+            at = np.flatnonzero(line != START)
+            code = _context(line[at - 2], line[at - 1]) * 256 + line[at]
+            np.add.at(total, code, weight[at])
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"code": pa.array(used), "n": pa.array(total[used])})
+
+    return spell
+
+
+def spelling(counts: DataFrame, words: list[str]) -> np.ndarray:
+    """Log-probability of each byte after a context, from all words outside the vocabulary.
+
+    At most CONTEXTS * 256 numbers, whatever the corpus.
+    """
+    summed = counts.select("word", "n").mapInArrow(_spelling_batches(words), "code long, n long")
+    rows = summed.groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros(CONTEXTS * 256)
+    table[rows["code"].to_numpy()] = rows["n"].to_numpy()
+    table = table.reshape(CONTEXTS, 256)
+    alone = (table.sum(axis=0) + 1) / (table.sum() + 256)
+    share = (table + SMOOTHING * alone) / (table.sum(axis=1, keepdims=True) + SMOOTHING)
+    return np.log(share).astype(np.float32).ravel()
+
+
 class Numbers(dict):
-    """Words to vocabulary numbers."""
+    """Words to vocabulary numbers; other words to places in a list of their own."""
 
-    def __init__(self, words: list[str], settings: Settings) -> None:
+    def __init__(self, words: list[str], settings: Settings, letters: np.ndarray) -> None:
         super().__init__((word, n) for n, word in enumerate(words))
-        self.words, self.settings = words, settings
+        self.words, self.settings, self.letters = words, settings, letters.tolist()
+        self.shared: list[int] = []
+        self.spelt: list[float] = []
+
+    def spell(self, word: str) -> float:
+        """Log-probability of the word's bytes and its end."""
+        before = last = START
+        total = 0.0
+        for byte in (*word.encode("utf-8", "surrogatepass"), END):
+            total += self.letters[_context(before, last) * 256 + byte]
+            before, last = last, byte
+        return total
 
     def __missing__(self, word: str) -> int:
         settings = self.settings
         code = zlib.crc32(word.encode("utf-8", "surrogatepass")) % settings.shared
-        value = self[word] = settings.size - settings.shared + code
+        value = self[word] = settings.size + len(self.shared)
+        self.shared.append(settings.other + code)
+        self.spelt.append(self.spell(word))
         return value
 
-    def of(self, text: str) -> np.ndarray:
-        if len(self) > 400_000:
+    def of(self, text: str) -> tuple[np.ndarray, float]:
+        """The text's numbers, and the log-probability of the letters of its other words."""
+        if len(self.shared) > 400_000:
             self.clear()
             self.update((word, n) for n, word in enumerate(self.words))
+            self.shared, self.spelt = [], []
         words = WORD.findall(text.lower())
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        line = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        at = np.flatnonzero(line >= self.settings.size)
+        other = (line[at] - self.settings.size).tolist()
+        line[at] = np.fromiter(map(self.shared.__getitem__, other), np.int64, len(other))
+        return line, sum(map(self.spelt.__getitem__, other))
+
+
+def _encode_batches(words: list[str], settings: Settings, letters: np.ndarray):
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = Numbers(words, settings, letters)
+        for batch, held in text_chunks(batches):
+            lines, spelt = zip(*map(numbers.of, held), strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array(list(map(len, lines)), pa.int64()),
+                    pa.array([line.astype("<u2").tobytes() for line in lines], pa.binary()),
+                    pa.array(spelt, pa.float64()),
+                ],
+                names=["doc_id", "n_tokens", "numbers", "spelt"],
+            )
+
+    return encode
+
+
+def encoded(docs: DataFrame, words: list[str], settings: Settings, letters: np.ndarray) -> DataFrame:
+    """doc_id, n_tokens, numbers (16 bits each) and the letters' score of every document, stored."""
+    table = texts(docs).mapInArrow(
+        _encode_batches(words, settings, letters),
+        "doc_id long, n_tokens long, numbers binary, spelt double",
+    )
+    return stored(table, "encoded")
 
 
 @dataclass
@@ -128,6 +244,9 @@ class Network:
     to_word: np.ndarray  # classes x hidden x per_class
     word_bias: np.ndarray
 
+    def __post_init__(self) -> None:
+        self.squares = [np.full_like(part, 1e-6) for part in self.parts]
+
     @property
     def parts(self) -> list[np.ndarray]:
         return [self.near, self.bias, self.to_class, self.class_bias, self.to_word, self.word_bias]
@@ -142,65 +261,88 @@ class Network:
             at += part.size
 
     def windows(self, lines: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """All tokens, and for each the numbers at its neighbouring places."""
+        """All tokens as predicted, and for each the numbers at its neighbouring places."""
         reach, mark = self.settings.reach, self.settings.size
         gap = np.full(reach, mark)
-        padded = np.concatenate([gap, *[part for line in lines for part in (line, gap)]])
+        padded = np.concatenate([gap, *[part for line in lines for part in (line, gap)]]).astype(np.int16)
         own = np.flatnonzero(padded != mark)
-        return padded[own], np.stack([padded[own + k] for k in self.settings.places])
+        around = np.stack([padded[own + k] for k in self.settings.places])
+        return np.minimum(padded[own], self.settings.other), around
 
     def hidden(self, around: np.ndarray) -> np.ndarray:
-        total = self.near[0][around[0]] + self.bias
+        total = self.near[0].take(around[0], axis=0)
+        total += self.bias
         for table, numbers in zip(self.near[1:], around[1:], strict=True):
-            total += table[numbers]
+            total += table.take(numbers, axis=0)
         return np.tanh(total, out=total)
 
+    def _by_class(self, tokens: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+        """The order by class, and (class, first, last) of each class that occurs."""
+        own = tokens // self.settings.per_class
+        order = np.argsort(own, kind="stable")
+        bounds = np.searchsorted(own[order], np.arange(self.settings.classes + 1)).tolist()
+        runs = [(k, a, b) for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if b > a]
+        return order, runs
+
     def log_probabilities(self, tokens: np.ndarray, around: np.ndarray) -> np.ndarray:
         """Of each token given its neighbours."""
-        settings = self.settings
-        hidden = self.hidden(around)
-        own, within = np.divmod(tokens, settings.per_class)
-        result = _log_share(hidden @ self.to_class + self.class_bias, own)
-        order = np.argsort(own, kind="stable")
-        bounds = np.searchsorted(own[order], np.arange(settings.classes + 1))
-        for k in range(settings.classes):
-            at = order[bounds[k] : bounds[k + 1]]
-            if len(at):
-                result[at] += _log_share(hidden[at] @ self.to_word[k] + self.word_bias[k], within[at])
+        result = np.empty(len(tokens), np.float32)
+        for at in range(0, len(tokens), self.settings.batch):
+            part = slice(at, at + self.settings.batch)
+            result[part] = self._log_probabilities(tokens[part], around[:, part])
+        return result
+
+    def _log_probabilities(self, tokens: np.ndarray, around: np.ndarray) -> np.ndarray:
+        order, runs = self._by_class(tokens)
+        tokens = tokens[order]
+        own, within = np.divmod(tokens, self.settings.per_class)
+        hidden = self.hidden(around[:, order])
+        share = _log_share(hidden @ self.to_class + self.class_bias, own)
+        for k, a, b in runs:
+            share[a:b] += _log_share(hidden[a:b] @ self.to_word[k] + self.word_bias[k], within[a:b])
+        result = np.empty_like(share)
+        result[order] = share
         return result
 
     def learn(self, tokens: np.ndarray, around: np.ndarray) -> None:
-        """One step of gradient descent on a batch."""
-        settings, step = self.settings, self.settings.step
-        hidden = self.hidden(around)
+        """One step of gradient descent on a batch, each parameter at its own pace."""
+        settings, count = self.settings, np.float32(1 / len(tokens))
+        near2, bias2, to_class2, class_bias2, to_word2, word_bias2 = self.squares
+        order, runs = self._by_class(tokens)
+        tokens, around = tokens[order], around[:, order]
         own, within = np.divmod(tokens, settings.per_class)
+        hidden = self.hidden(around)
         error = _softmax_error(hidden @ self.to_class + self.class_bias, own)
+        error *= count
         back = error @ self.to_class.T
-        scale = step / len(tokens)
-        self.to_class -= scale * (hidden.T @ error)
-        self.class_bias -= scale * error.sum(axis=0)
-        order = np.argsort(own, kind="stable")
-        bounds = np.searchsorted(own[order], np.arange(settings.classes + 1))
-        for k in range(settings.classes):
-            at = order[bounds[k] : bounds[k + 1]]
-            if len(at):
-                error = _softmax_error(hidden[at] @ self.to_word[k] + self.word_bias[k], within[at])
-                back[at] += error @ self.to_word[k].T
-                self.to_word[k] -= scale * (hidden[at].T @ error)
-                self.word_bias[k] -= scale * error.sum(axis=0)
+        self._step(self.to_class, to_class2, hidden.T @ error)
+        self._step(self.class_bias, class_bias2, error.sum(axis=0))
+        for k, a, b in runs:
+            error = _softmax_error(hidden[a:b] @ self.to_word[k] + self.word_bias[k], within[a:b])
+            error *= count
+            back[a:b] += error @ self.to_word[k].T
+            self._step(self.to_word[k], to_word2[k], hidden[a:b].T @ error)
+            self._step(self.word_bias[k], word_bias2[k], error.sum(axis=0))
         back *= 1 - hidden * hidden
-        self.bias -= scale * back.sum(axis=0)
-        back *= 8 * scale
-        columns = np.arange(settings.hidden)
-        for table, numbers in zip(self.near, around, strict=True):
-            flat = (numbers[:, None] * settings.hidden + columns).ravel()
-            np.subtract.at(table.reshape(-1), flat, back.ravel())  # flat indices are the fast case
+        self._step(self.bias, bias2, back.sum(axis=0))
+        for table, squares, numbers in zip(self.near, near2, around, strict=True):
+            by_number = np.argsort(numbers, kind="stable")
+            ranked = numbers[by_number]
+            first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
+            rows = ranked[first]
+            slope = np.add.reduceat(back[by_number], first, axis=0)
+            total = squares[rows] + slope * slope
+            squares[rows] = total
+            table[rows] -= settings.step * slope / np.sqrt(total)
+
+    def _step(self, part: np.ndarray, squares: np.ndarray, slope: np.ndarray) -> None:
+        squares += slope * slope
+        part -= self.settings.step * slope / np.sqrt(squares)
 
 
 def _log_share(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    top = logits.max(axis=1, keepdims=True)
-    own = logits[np.arange(len(logits)), chosen] - top[:, 0]
-    logits -= top
+    logits -= logits.max(axis=1, keepdims=True)
+    own = logits[np.arange(len(logits)), chosen]
     return own - np.log(np.exp(logits, out=logits).sum(axis=1))
 
 
@@ -230,88 +372,110 @@ def new_network(settings: Settings) -> Network:
     )
 
 
-def _chosen(text: str, settings: Settings, turn: int) -> bool:
-    """Whether the text trains in this round; another share in each."""
-    return zlib.crc32(text.encode("utf-8", "surrogatepass")) % settings.every == turn % settings.every
+def _line(numbers: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(numbers.as_buffer(), "<u2")
 
 
-def _train_batches(network: Network, words: list[str], turn: int):
-    settings = network.settings
+def _learn_held(network: Network, held: list[np.ndarray], rng: np.random.Generator) -> None:
+    if held:
+        tokens, around = network.windows(held)
+        order = rng.permutation(len(tokens))
+        for at in range(0, len(order), network.settings.batch):
+            part = order[at : at + network.settings.batch]
+            network.learn(tokens[part], around[:, part])
+
+
+def _train_batches(settings: Settings):
+    def slices(network: Network) -> pa.RecordBatch:
+        flat = network.flat()
+        values = np.pad(flat, (0, -len(flat) % SLICE)).astype(np.float64)
+        whole = np.rint(values / UNIT).astype(np.int64).reshape(-1, SLICE)
+        return pa.RecordBatch.from_pydict(
+            {
+                "slice": pa.array(np.arange(len(whole))),
+                "parameters": pa.array(list(whole), pa.list_(pa.int64())),
+            }
+        )
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, seen = Numbers(words, settings), 0
-        rng = np.random.default_rng(settings.seed + turn)
-        for _, held in text_chunks(batches):
-            lines = [numbers.of(text) for text in held if _chosen(text, settings, turn)]
-            if not sum(map(len, lines)):
-                continue
-            tokens, around = network.windows(lines)
-            order = rng.permutation(len(tokens))
-            seen += len(tokens)
-            for at in range(0, len(order), settings.batch):
-                part = order[at : at + settings.batch]
-                network.learn(tokens[part], around[:, part])
-        if seen:
-            flat = network.flat()
-            values = np.pad(flat, (0, -len(flat) % SLICE)).astype(np.float64)
-            rows = values.size // SLICE
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "slice": pa.array(np.arange(rows)),
-                    "tokens": pa.array(np.full(rows, float(seen))),
-                    "parameters": pa.array(list(values.reshape(rows, SLICE)), pa.list_(pa.float64())),
-                }
-            )
+        shard = network = rng = None
+        held, size = [], 0
+        for batch in batches:
+            for own, numbers in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if own != shard:
+                    if network is not None:
+                        _learn_held(network, held, rng)
+                        yield slices(network)
+                    shard, network, held, size = own, new_network(settings), [], 0
+                    rng = np.random.default_rng([settings.seed, own])
+                line = _line(numbers)
+                held.append(line)
+                size += len(line)
+                if size >= HELD_TOKENS:
+                    _learn_held(network, held, rng)
+                    held, size = [], 0
+        if network is not None:
+            _learn_held(network, held, rng)
+            yield slices(network)
 
     return train
 
 
-def trained(docs: DataFrame, words: list[str], settings: Settings) -> Network:
-    """The network after the rounds of training and averaging."""
+def trained(lines: DataFrame, settings: Settings) -> Network:
+    """The network after every shard of the encoded documents has trained it and been averaged."""
     network = new_network(settings)
-    share = [F.sum(F.col("parameters")[i] * F.col("tokens")) / F.sum("tokens") for i in range(SLICE)]
-    for turn in range(settings.rounds):
-        rows = (
-            texts(docs)
-            .select("text")
-            .mapInArrow(
-                _train_batches(network, words, turn),
-                "slice long, tokens double, parameters array<double>",
-            )
-            .groupBy("slice")
-            .agg(F.array(*share).alias("parameters"))
-            .collect()
-        )
-        if rows:
-            rows.sort(key=lambda row: row.slice)
-            network.fill(np.concatenate([row.parameters for row in rows])[: network.flat().size])
+    used = lines.filter("n_tokens > 0")
+    tokens = used.agg(F.sum("n_tokens")).first()[0] or 0
+    shards = 1 + tokens // settings.shard_tokens
+    key = F.xxhash64("doc_id", "numbers")
+    rows = (
+        used.select(F.pmod(key, F.lit(shards)).alias("shard"), "numbers", key.alias("key"))
+        .repartition(shards, "shard")
+        .sortWithinPartitions("shard", "key", "numbers")
+        .select("shard", "numbers")
+        .mapInArrow(_train_batches(settings), "slice long, parameters array<long>")
+        .groupBy("slice")
+        .agg(F.array(*[F.sum(F.col("parameters")[i]) for i in range(SLICE)]).alias("total"), F.count("*").alias("n"))
+        .collect()
+    )
+    if rows:
+        rows.sort(key=lambda row: row.slice)
+        values = np.concatenate([np.array(row.total) * (UNIT / row.n) for row in rows])
+        network.fill(values[: network.flat().size])
     return network
 
 
-def _score_batches(network: Network, words: list[str]):
+def _score_batches(network: Network):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = Numbers(words, network.settings)
-        for batch, held in text_chunks(batches, 400_000):
-            lines = [numbers.of(text) for text in held]
-            counts = np.array([len(line) for line in lines])
-            sums = np.zeros(len(lines))
-            if counts.sum():
-                values = network.log_probabilities(*network.windows(lines))
-                sums = np.bincount(np.repeat(np.arange(len(lines)), counts), values, len(lines))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(sums)],
-                names=["doc_id", "n_tokens", "log_likelihood"],
-            )
+        for batch in batches:
+            counts = batch.column(1).to_numpy()
+            ends = np.cumsum(counts)
+            start = 0
+            while start < len(counts):
+                seen = ends[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, seen + HELD_TOKENS, side="right")))
+                part = batch.slice(start, stop - start)
+                start = stop
+                lines = [_line(numbers) for numbers in part.column(2)]
+                held = part.column(1).to_numpy()
+                sums = part.column(3).to_numpy()
+                if held.sum():
+                    values = network.log_probabilities(*network.windows(lines))
+                    sums = sums + np.bincount(np.repeat(np.arange(len(held)), held), values, len(held))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(sums)],
+                    names=["doc_id", "n_tokens", "log_likelihood"],
+                )
 
     return score
 
 
 def document_scores(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """doc_id, n_tokens, log_likelihood and its mean per token of every document."""
-    words = vocabulary(docs, settings)
-    network = trained(docs, words, settings)
-    scored = texts(docs).mapInArrow(
-        _score_batches(network, words), "doc_id long, n_tokens long, log_likelihood double"
-    )
+    counts = word_counts(docs, settings)
+    words = vocabulary(counts, settings)
+    lines = encoded(docs, words, settings, spelling(counts, words))
+    network = trained(lines, settings)
+    scored = lines.mapInArrow(_score_batches(network), "doc_id long, n_tokens long, log_likelihood double")
     mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
     return scored.withColumn("mean_log_likelihood", mean)
