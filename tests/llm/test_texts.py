@@ -245,7 +245,7 @@ def test_lm_learns_word_order(docs):
     letters = pseudolm.spelling(counts, words)
     lines = pseudolm.encoded(docs, words, settings, letters)
     network = pseudolm.trained(lines, settings)
-    line = pseudolm.Numbers(words, settings, letters).of(" ".join(r.text for r in docs.limit(50).collect()))[0]
+    line = pseudolm.Numbers(words, settings, letters).of([" ".join(r.text for r in docs.limit(50).collect())])[0][0]
     mixed = np.array(random.Random(4).sample(line.tolist(), len(line)))
     value = [network.log_probabilities(*network.windows([x])).mean() for x in (line, mixed)]
     assert value[0] > value[1]
@@ -302,10 +302,18 @@ def test_lm_spells_other_words(spark):
     sums = np.exp(letters.astype(float)).reshape(-1, 256).sum(axis=1)
     assert np.allclose(sums, 1, atol=1e-4)
     numbers = pseudolm.Numbers(["the"], pseudolm.Settings(), letters)
-    assert numbers.spell("tionou") > numbers.spell("oitnuo")
-    line, spelt = numbers.of("the tionou oitnuo the")
-    assert line[0] == line[3] == 0 and min(line[1:3]) >= numbers.settings.other
-    assert np.isclose(spelt, numbers.spell("tionou") + numbers.spell("oitnuo"))
+    own = numbers.spell(["tionou", "oitnuo", "\u00e9"])
+    assert own[0] > own[1]
+
+    def plain(word):
+        line = [pseudolm.START] * 2 + list(word.encode()) + [pseudolm.END]
+        contexts = [pseudolm._context(a, b) for a, b in zip(line, line[1:])]
+        return sum(letters[c * 256 + byte] for c, byte in zip(contexts, line[2:]))
+
+    assert np.allclose(own, [plain(word) for word in ("tionou", "oitnuo", "\u00e9")])
+    lines, spelt = numbers.of(["the tionou oitnuo the", "", "tionou the"])
+    assert lines[0][0] == lines[0][3] == 0 and min(lines[0][1:3]) >= numbers.settings.other
+    assert np.allclose(spelt, [own[0] + own[1], 0, own[0]])
 
 
 @pytest.fixture(scope="module")

@@ -44,15 +44,15 @@ WORD = re.compile(r"\w+|[^\w\s]")
 
 @dataclass(frozen=True)
 class Settings:
-    classes: int = 48
-    per_class: int = 48
+    classes: int = 32
+    per_class: int = 32
     #: Entries that words outside the vocabulary share as neighbours; the first stands
     #: for all of them where they are predicted.
     shared: int = 64
     reach: int = 2
     hidden: int = 16
     step: float = 0.2
-    batch: int = 8192
+    batch: int = 16_384
     #: Tokens of a shard; their number over the corpus gives the number of shards.
     shard_tokens: int = 8_000_000
     seed: int = 5
@@ -172,46 +172,64 @@ class Numbers(dict):
 
     def __init__(self, words: list[str], settings: Settings, letters: np.ndarray) -> None:
         super().__init__((word, n) for n, word in enumerate(words))
-        self.words, self.settings, self.letters = words, settings, letters.tolist()
+        self.words, self.settings, self.letters = words, settings, letters
+        #: Of each other word met: its shared entry, the score of its letters, those to score.
         self.shared: list[int] = []
         self.spelt: list[float] = []
-
-    def spell(self, word: str) -> float:
-        """Log-probability of the word's bytes and its end."""
-        before = last = START
-        total = 0.0
-        for byte in (*word.encode("utf-8", "surrogatepass"), END):
-            total += self.letters[_context(before, last) * 256 + byte]
-            before, last = last, byte
-        return total
+        self.unspelt: list[str] = []
+
+    def spell(self, words: list[str]) -> list[float]:
+        """Log-probabilities of the words' bytes and their ends."""
+        line = np.frombuffer("".join(words).encode("utf-8", "surrogatepass"), np.uint8)
+        sizes = [len(word.encode("utf-8", "surrogatepass")) + 3 for word in words]
+        ends = np.cumsum(sizes)
+        padded = np.full(ends[-1], START)
+        padded[ends - 1] = END
+        inside = np.ones(len(padded), bool)
+        inside[ends - 1] = inside[ends - np.array(sizes)] = inside[ends - np.array(sizes) + 1] = False
+        padded[inside] = line
+        cost = np.zeros(len(padded))
+        at = np.flatnonzero(padded != START)
+        cost[at] = self.letters[_context(padded[at - 2], padded[at - 1]) * 256 + padded[at]]
+        return np.add.reduceat(cost, ends - np.array(sizes)).tolist()
 
     def __missing__(self, word: str) -> int:
         settings = self.settings
         code = zlib.crc32(word.encode("utf-8", "surrogatepass")) % settings.shared
         value = self[word] = settings.size + len(self.shared)
         self.shared.append(settings.other + code)
-        self.spelt.append(self.spell(word))
+        self.unspelt.append(word)
         return value
 
-    def of(self, text: str) -> tuple[np.ndarray, float]:
-        """The text's numbers, and the log-probability of the letters of its other words."""
+    def of(self, texts: list[str]) -> tuple[list[np.ndarray], list[float]]:
+        """Each text's numbers, and the log-probability of the letters of its other words."""
         if len(self.shared) > 400_000:
             self.clear()
             self.update((word, n) for n, word in enumerate(self.words))
             self.shared, self.spelt = [], []
-        words = WORD.findall(text.lower())
-        line = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        at = np.flatnonzero(line >= self.settings.size)
-        other = (line[at] - self.settings.size).tolist()
-        line[at] = np.fromiter(map(self.shared.__getitem__, other), np.int64, len(other))
-        return line, sum(map(self.spelt.__getitem__, other))
+        size = self.settings.size
+        lines = []
+        for text in texts:
+            words = WORD.findall(text.lower())
+            lines.append(np.fromiter(map(self.__getitem__, words), np.int64, len(words)))
+        if self.unspelt:
+            self.spelt += self.spell(self.unspelt)
+            self.unspelt = []
+        shared, spelt = np.array(self.shared, np.int64), np.array(self.spelt)
+        sums = []
+        for line in lines:
+            at = np.flatnonzero(line >= size)
+            other = line[at] - size
+            line[at] = shared[other]
+            sums.append(float(spelt[other].sum()))
+        return lines, sums
 
 
 def _encode_batches(words: list[str], settings: Settings, letters: np.ndarray):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = Numbers(words, settings, letters)
         for batch, held in text_chunks(batches):
-            lines, spelt = zip(*map(numbers.of, held), strict=True)
+            lines, spelt = numbers.of(held)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -297,9 +315,10 @@ class Network:
         tokens = tokens[order]
         own, within = np.divmod(tokens, self.settings.per_class)
         hidden = self.hidden(around[:, order])
-        share = _log_share(hidden @ self.to_class + self.class_bias, own)
+        share = _log_share(_logits(hidden, self.to_class, self.class_bias), own)
         for k, a, b in runs:
-            share[a:b] += _log_share(hidden[a:b] @ self.to_word[k] + self.word_bias[k], within[a:b])
+            logits = _logits(hidden[a:b], self.to_word[k], self.word_bias[k])
+            share[a:b] += _log_share(logits, within[a:b])
         result = np.empty_like(share)
         result[order] = share
         return result
@@ -312,17 +331,18 @@ class Network:
         tokens, around = tokens[order], around[:, order]
         own, within = np.divmod(tokens, settings.per_class)
         hidden = self.hidden(around)
-        error = _softmax_error(hidden @ self.to_class + self.class_bias, own)
-        error *= count
+        error = _softmax_error(_logits(hidden, self.to_class, self.class_bias), own, count)
         back = error @ self.to_class.T
         self._step(self.to_class, to_class2, hidden.T @ error)
         self._step(self.class_bias, class_bias2, error.sum(axis=0))
+        word_slope, word_bias_slope = np.zeros_like(self.to_word), np.zeros_like(self.word_bias)
         for k, a, b in runs:
-            error = _softmax_error(hidden[a:b] @ self.to_word[k] + self.word_bias[k], within[a:b])
-            error *= count
+            error = _softmax_error(_logits(hidden[a:b], self.to_word[k], self.word_bias[k]), within[a:b], count)
             back[a:b] += error @ self.to_word[k].T
-            self._step(self.to_word[k], to_word2[k], hidden[a:b].T @ error)
-            self._step(self.word_bias[k], word_bias2[k], error.sum(axis=0))
+            np.matmul(hidden[a:b].T, error, out=word_slope[k])
+            np.sum(error, axis=0, out=word_bias_slope[k])
+        self._step(self.to_word, to_word2, word_slope)
+        self._step(self.word_bias, word_bias2, word_bias_slope)
         back *= 1 - hidden * hidden
         self._step(self.bias, bias2, back.sum(axis=0))
         for table, squares, numbers in zip(self.near, near2, around, strict=True):
@@ -340,17 +360,38 @@ class Network:
         part -= self.settings.step * slope / np.sqrt(squares)
 
 
+def _logits(hidden: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    logits = hidden @ weights
+    logits += bias
+    return logits
+
+
+def _lowered(logits: np.ndarray) -> np.ndarray:
+    """In place: each row less a number that keeps its sum of exponents in range.
+
+    The highest logit of all rows will do for most; rows far below it take their own.
+    """
+    logits -= logits.max()
+    low = np.flatnonzero(logits[:, 0] < -30)
+    if len(low):
+        logits[low] -= logits[low].max(axis=1, keepdims=True)
+    return logits
+
+
+def _row_sums(values: np.ndarray) -> np.ndarray:
+    return values @ np.ones(values.shape[1], np.float32)  # faster than sum over a short axis
+
+
 def _log_share(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
-    own = logits[np.arange(len(logits)), chosen]
-    return own - np.log(np.exp(logits, out=logits).sum(axis=1))
+    own = _lowered(logits)[np.arange(len(logits)), chosen]
+    return own - np.log(_row_sums(np.exp(logits, out=logits)))
 
 
-def _softmax_error(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
-    np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
-    logits[np.arange(len(logits)), chosen] -= 1
+def _softmax_error(logits: np.ndarray, chosen: np.ndarray, scale: np.float32) -> np.ndarray:
+    """Shares less one at the chosen entry, times the scale."""
+    np.exp(_lowered(logits), out=logits)
+    logits *= (scale / _row_sums(logits))[:, None]
+    logits[np.arange(len(logits)), chosen] -= scale
     return logits
 
 
