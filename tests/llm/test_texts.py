@@ -2,6 +2,7 @@
 
 from types import SimpleNamespace
 import random
+import time
 import re
 from pathlib import Path
 
@@ -447,3 +448,21 @@ def test_labelled_texts_are_learnt_whole():
     model = language.train(iter([SimpleNamespace(text=t, lang=lang) for t, lang in rows]), language.Settings())
     labeller = language.Labeller(model)
     assert [one[0] for one in labeller.label(["zebra", "quagga"])] == ["aa", "bb"]
+
+
+def test_index_of_many_items_and_a_long_text():
+    """Time and memory follow the items and stretches; a stretch's border hides nothing."""
+    rng = np.random.default_rng(9)
+    lines = rng.integers(0, 5_000, (20_000, 14))
+    items = [(k, " ".join(f"w{x}" for x in line)) for k, line in enumerate(lines)]
+    begun = time.monotonic()
+    index = decontaminate.Index(items, {})
+    assert time.monotonic() - begun < 60  # takes about two seconds
+    step = decontaminate.HELD_WINDOWS
+    text = [f"x{k % 9_973}" for k in range(3 * step)]
+    planted = {7: 0, 11: step - 7, 12: 2 * step - 1, 19_999: 3 * step - 14, 500: step + 40}
+    for item, at in planted.items():
+        text[at : at + 14] = items[item][1].split()
+    found = index.search(decontaminate.WordHashes().of(" ".join(text)), 0.8)
+    assert planted.keys() == found.keys()
+    assert all(found[k][0] > 0.999 and found[k][1] == at for k, at in planted.items())

@@ -7,8 +7,10 @@ returns every item in the radius.  Candidates are then verified by the exact
 weighted-shingle similarity (Dice's, a shingle weighing the inverse of the number of
 items that hold it, 1 if none does).
 
-Only windows with at least one shingle of an item of their size are fingerprinted:
-any other window has similarity zero.  The radius lies four standard deviations
+Only windows with at least one shingle of an item of their size are fingerprinted, and
+looked up among the items that share a shingle with their stretch of the text: any other
+pair has similarity zero.  The index takes time in proportion to the items, a search holds
+a bounded stretch of a long text.  The radius lies four standard deviations
 beyond the expected distance at the similarity asked for.
 
 The benchmark goes to the tasks in slices of at most ``SLICE_CHARS`` characters, one
@@ -45,6 +47,8 @@ BLOCKS = 4
 SLICE_CHARS = 8_000_000
 WORD = re.compile(r"\w+")
 FLAGS = 1 << 20
+#: Pairs of a window and an item, and windows of a text, that are held at once.
+HELD_PAIRS, HELD_WINDOWS = 4_000_000, 16_384
 
 
 class WordHashes(dict):
@@ -100,21 +104,28 @@ class Items:
             for bag in bags
         ]
         self.prints = _prints(np.array(sums))
-        self.blocks = []
-        for b in range(BLOCKS):
-            values, owner = np.unique(_block(self.prints, b), return_inverse=True)
-            self.blocks.append((values, owner))
-
-    def near(self, prints: np.ndarray) -> Iterator[tuple[int, int]]:
-        """(window, item) pairs within RADIUS bits, found through the blocks."""
-        found = np.zeros((len(prints), len(self.ids)), bool)
-        for b, (values, owner) in enumerate(self.blocks):
-            own, place = np.unique(_block(prints, b), return_inverse=True)
-            close = np.bitwise_count(own[:, None] ^ values[None, :]) <= RADIUS // BLOCKS
-            found |= close[place][:, owner]
-        window, item = np.nonzero(found)
-        within = np.bitwise_count(prints[window] ^ self.prints[item]) <= RADIUS
-        return zip(window[within].tolist(), item[within].tolist(), strict=True)
+
+    def near(self, prints: np.ndarray, items: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(window, item) pairs within RADIUS bits, found through the blocks.
+
+        items are those that share a shingle with one of the windows; no more than
+        HELD_PAIRS pairs are looked at at once.
+        """
+        blocks = [
+            np.unique(_block(self.prints[items], b), return_inverse=True) for b in range(BLOCKS)
+        ]
+        step = max(1, HELD_PAIRS // len(items))
+        for start in range(0, len(prints), step):
+            held = prints[start : start + step]
+            found = np.zeros((len(held), len(items)), bool)
+            for b, (values, owner) in enumerate(blocks):
+                own, place = np.unique(_block(held, b), return_inverse=True)
+                close = np.bitwise_count(own[:, None] ^ values[None, :]) <= RADIUS // BLOCKS
+                found |= close[place][:, owner]
+            window, item = np.nonzero(found)
+            item = items[item]
+            within = np.bitwise_count(held[window] ^ self.prints[item]) <= RADIUS
+            yield from zip((window[within] + start).tolist(), item[within].tolist(), strict=True)
 
 
 def _block(prints: np.ndarray, b: int) -> np.ndarray:
@@ -142,16 +153,19 @@ class Index:
             Items(size, [i for i, _ in held], [bag for _, bag in held], self.weight)
             for size, held in sorted(by_size.items())
         ]
-        #: Per shingle width: known shingles, quick flags, and groups that hold each.
+        #: Per shingle width: known shingles, quick flags, and the items of each group that hold each.
         self.known = {}
         for k in sorted({min(width, group.size) for group in self.groups}):
             own = [g for g in self.groups if min(width, g.size) == k]
-            values = np.array(sorted({s for g in own for bag in g.bags for s in bag}), np.uint64)
+            holding: dict[int, dict[int, list[int]]] = {}
+            for place, group in enumerate(own):
+                for item, bag in enumerate(group.bags):
+                    for s in bag:
+                        holding.setdefault(s, {}).setdefault(place, []).append(item)
+            values = np.array(sorted(holding), np.uint64)
             flags = np.zeros(FLAGS, bool)
             flags[(values & np.uint64(FLAGS - 1)).astype(np.int64)] = True
-            places: list[list[Items]] = [
-                [g for g in own if any(s in bag for bag in g.bags)] for s in values.tolist()
-            ]
+            places = [[(own[g], items) for g, items in holding[s].items()] for s in values.tolist()]
             self.known[k] = (values, flags, places)
 
     def weight(self, shingle: int) -> float:
@@ -167,15 +181,17 @@ class Index:
                 continue
             rank = np.minimum(np.searchsorted(values, hashes[maybe]), len(values) - 1)
             true = values[rank] == hashes[maybe]
-            starts: dict[int, tuple[Items, list[int]]] = {}
+            starts: dict[int, tuple[Items, list[int], list[list[int]]]] = {}
             for at, place in zip(maybe[true].tolist(), rank[true].tolist(), strict=True):
-                for group in places[place]:
-                    starts.setdefault(group.size, (group, []))[1].append(at)
-            for group, hits in starts.values():
-                self._windows(group, width, hashes, hits, similarity, best)
+                for group, items in places[place]:
+                    _, hits, holding = starts.setdefault(group.size, (group, [], []))
+                    hits.append(at)
+                    holding.append(items)
+            for group, hits, holding in starts.values():
+                self._windows(group, width, hashes, hits, holding, similarity, best)
         return best
 
-    def _windows(self, group, width, hashes, hits, similarity, best) -> None:
+    def _windows(self, group, width, hashes, hits, holding, similarity, best) -> None:
         """Verify the windows of the group's size around the hits."""
         span = group.size - width + 1
         last = len(hashes) - span
@@ -184,12 +200,17 @@ class Index:
         at = np.asarray(hits)
         opened = np.concatenate(([0], np.flatnonzero(np.diff(at) > 64 * span) + 1, [len(at)]))
         for a, b in zip(opened[:-1].tolist(), opened[1:].tolist(), strict=True):
-            for part in np.array_split(at[a:b], max(1, (b - a) // 4096)):
-                low, high = max(0, int(part[0]) - span + 1), min(last, int(part[-1]))
-                if high >= low:
-                    self._region(group, hashes, part, span, low, high, similarity, best)
-
-    def _region(self, group, hashes, hits, span, low, high, similarity, best) -> None:
+            first, end = max(0, int(at[a]) - span + 1), min(last, int(at[b - 1]))
+            for low in range(first, end + 1, HELD_WINDOWS):
+                high = min(end, low + HELD_WINDOWS - 1)
+                c, d = np.searchsorted(at, (low, high + span)).tolist()
+                if d > c:
+                    # Equal lists are one object, as they belong to one shingle.
+                    lists = {id(items): items for items in holding[c:d]}
+                    items = np.array(sorted(set().union(*lists.values())))
+                    self._region(group, items, hashes, at[c:d], span, low, high, similarity, best)
+
+    def _region(self, group, items, hashes, hits, span, low, high, similarity, best) -> None:
         touched = np.zeros(high - low + 2, np.int64)
         np.add.at(touched, np.clip(hits - span + 1 - low, 0, None), 1)
         np.add.at(touched, np.minimum(hits - low, high - low) + 1, -1)
@@ -199,7 +220,7 @@ class Index:
         sums = np.zeros((len(local) + 1, 64))
         np.cumsum(_signs(local) * weights[:, None], axis=0, out=sums[1:])
         prints = _prints(sums[windows + span] - sums[windows])
-        for w, item in group.near(prints):
+        for w, item in group.near(prints, items):
             start = int(windows[w])
             score = self._dice(group, item, local[start : start + span])
             key = group.ids[item]
