@@ -1,13 +1,13 @@
 """Personal data under format-preserving pseudonyms, in DataFrame functions alone.
 
 Numbers and dates are found by pattern and validated (check digits, octets, calendar,
-number plans).  A value is read as a place in the set of values of its format, and a
+number ranges; phone numbers by their digits alone).  A value is read as a place in the set of values of its format, and a
 keyed Feistel network permutes that set: the pseudonym has the same format and passes
 the same validation, equal values get equal pseudonyms in all documents, different
 values different ones, and the key undoes it.  The halves of the set are residues of
 unequal moduli, so no value has to be walked back into range.
 
-Kinds: e-mail addresses (local part), IPv4 addresses, ISO and dotted or slashed dates
+Kinds: e-mail addresses (local part), IPv4 addresses (octets keep their widths), ISO and dotted or slashed dates
 from 1900 to 2099, US social security numbers, phone numbers, payment card numbers (13 to
 19 digits with a Luhn digit; the first digit stays), IBANs (digits of the account).
 
@@ -173,11 +173,40 @@ def _email(text: Column, key: str, undo: bool) -> Column:
 
 
 def _ip(text: Column, key: str, undo: bool) -> Column:
-    parts = F.transform(F.split(text, r"\."), lambda x: x.cast("long"))
-    number = F.aggregate(parts, F.lit(0).cast("long"), lambda a, x: a * 256 + x)
-    new = feistel(number, 1 << 16, 1 << 16, F.lit("ip"), key, undo)
-    octets = [F.shiftright(new, shift).bitwiseAND(F.lit(255)).cast("string") for shift in (24, 16, 8, 0)]
-    return F.when(F.forall(parts, lambda x: x <= 255), F.concat_ws(".", *octets)).otherwise(text)
+    """Each octet keeps its width and whether a zero leads it, so no two spellings meet."""
+
+    def octet(shown: Column) -> Column:
+        zero = shown.rlike("^0.")
+        width = F.length(shown) - zero.cast("int")
+        base = F.when(zero | (width == 1), 0).when(width == 2, 10).otherwise(100)
+        size = F.when(width == 1, 10).when(zero, 100).when(width == 2, 90).otherwise(156)
+        return F.struct(
+            F.length(shown).alias("length"),
+            base.cast("long").alias("base"),
+            size.cast("long").alias("size"),
+            (shown.cast("long") - base).alias("place"),
+        )
+
+    def permuted(octets: Column) -> Column:
+        size, place = octets["size"], octets["place"]
+        left, right = place[0] * size[1] + place[1], place[2] * size[3] + place[3]
+        low, high = size[0] * size[1], size[2] * size[3]
+        tweak = F.concat(F.lit("ip"), F.array_join(size.cast("array<string>"), "."))
+        new = feistel(left * high + right, low, high, tweak, key, undo)
+        return F.transform(F.array(new), lambda n: shown(octets, n))[0]
+
+    def shown(octets: Column, new: Column) -> Column:
+        size = octets["size"]
+        steps = [size[1] * size[2] * size[3], size[2] * size[3], size[3], F.lit(1)]
+        values = [F.floor(new / step) % size[k] + octets["base"][k] for k, step in enumerate(steps)]
+        return F.concat_ws(
+            ".",
+            *[F.lpad(value.cast("string"), octets["length"][k], F.lit("0")) for k, value in enumerate(values)],
+        )
+
+    parts = F.split(text, r"\.")
+    new = F.transform(F.array(F.transform(parts, octet)), permuted)[0]
+    return F.when(F.forall(parts, lambda x: x.cast("long") <= 255), new).otherwise(text)
 
 
 FIRST_YEAR, YEARS = 1900, 200
