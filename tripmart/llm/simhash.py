@@ -17,8 +17,8 @@ Near copies by similarity (``similar_links``) are pairs whose sets of shingles h
 Jaccard similarity of at least a bound.  At 0.8 a pair's fingerprints lie about ten bits
 apart, too far for blocks of 64 bits, so bands of least hashes of the shingles give the
 candidates (a pair at 0.8 shares none of the bands once in 2,800); a wide SimHash radius
-sorts out most of the others and the shingles themselves decide.  Texts without words
-are alike.
+and the sizes sort out most of the others before any set moves, and the shingles themselves
+decide.  Rows of equal sets are folded first.  Texts without words are alike.
 """
 
 from __future__ import annotations
@@ -39,6 +39,8 @@ SHINGLE_WORDS = 3
 MAX_BITS = 3
 SEED = 42
 CHUNK = 2048
+#: Shingles whose sets a task holds at once for one chunk of similar rows (32 MB).
+BULK = 4_000_000
 #: Least hashes in a band, bands, and bits that a similar pair may differ in: at 0.8 ten
 #: are expected, and 24 are five standard deviations more.
 BAND_SIZE, BANDS, SIMILAR_BITS = 5, 20, 24
@@ -201,33 +203,81 @@ def bands(hashes: np.ndarray) -> list[int]:
     return np.fromiter(keys, np.uint64, BANDS).view(np.int64).tolist()
 
 
-def _band_batches(width: int):
-    def band(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, held in text_chunks(batches):
-            keys = [bands(np.unique(shingle_hashes(text, width))) for text in held]
-            yield pa.RecordBatch.from_pydict(
-                {"row": batch.column(0), "keys": pa.array(keys, pa.list_(pa.int64()))}
-            )
+SUMMARY = "row long, digest binary, fingerprint long, size long, keys array<long>"
 
-    return band
 
+def _summary_batches(width: int):
+    """Digest, fingerprint, size and band keys of each text's set of shingles."""
 
-def _set_batches(width: int):
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, held in text_chunks(batches):
             found = [np.unique(shingle_hashes(text, width)) for text in held]
             prints = np.array([majority_bits(own) for own in found], np.uint64)
             yield pa.RecordBatch.from_pydict(
                 {
                     "row": batch.column(0),
+                    "digest": pa.array([xxhash.xxh3_128_digest(own.tobytes()) for own in found], pa.binary()),
                     "fingerprint": pa.array(prints.view(np.int64)),
-                    "shingles": pa.array([own.tobytes() for own in found], pa.binary()),
+                    "size": pa.array([len(own) for own in found], pa.int64()),
+                    "keys": pa.array([bands(own) for own in found], pa.list_(pa.int64())),
                 }
             )
 
+    return summarise
+
+
+def _set_batches(width: int):
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, held in text_chunks(batches):
+            found = [np.unique(shingle_hashes(text, width)).tobytes() for text in held]
+            yield pa.RecordBatch.from_pydict(
+                {"row": batch.column(0), "shingles": pa.array(found, pa.binary())}
+            )
+
     return sets
 
 
+def _maybe(prints: np.ndarray, sizes: np.ndarray, at: int, others: np.ndarray, similarity: float) -> np.ndarray:
+    """Which others may be similar to the set at a place, by fingerprint and size."""
+    close = np.bitwise_count(prints[others] ^ prints[at]) <= SIMILAR_BITS
+    return close & (sizes[others] >= similarity * sizes[at]) & (sizes[at] >= similarity * sizes[others])
+
+
+def possible_groups(rows: np.ndarray, prints: np.ndarray, sizes: np.ndarray, similarity: float) -> list[np.ndarray]:
+    """Rows (sorted) of each component of the pairs that may be similar, if it has several."""
+    prints = prints.view(np.uint64)
+    open_ = np.unique(rows, return_index=True)[1]  # a row may come from both chunks
+    groups = []
+    while len(open_) > 1:
+        frontier, open_ = [open_[0]], open_[1:]
+        members = list(frontier)
+        while frontier and len(open_):
+            near = _maybe(prints, sizes, frontier.pop(), open_, similarity)
+            frontier += open_[near].tolist()
+            members += open_[near].tolist()
+            open_ = open_[~near]
+        if len(members) > 1:
+            groups.append(np.sort(rows[members]))
+    return groups
+
+
+def _part_batches(similarity: float):
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, rows = [], []
+            for group in batch.column(0):
+                columns = (column.to_numpy() for column in group.values.flatten())
+                for members in possible_groups(*columns, similarity):
+                    keys.append(np.full(len(members), xxhash.xxh64_intdigest(members.tobytes()), np.uint64))
+                    rows.append(members)
+            found = [np.concatenate(column) if column else np.empty(0, np.int64) for column in (keys, rows)]
+            yield pa.RecordBatch.from_pydict(
+                {"part": pa.array(found[0].view(np.int64)), "row": pa.array(found[1].astype(np.int64))}
+            )
+
+    return parts
+
+
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     """Of two sorted sets; two empty ones are alike."""
     shared = len(np.intersect1d(a, b, assume_unique=True))
@@ -240,16 +290,14 @@ def similar_spanning_links(
     """(member, member) links that span the components of the similar pairs."""
     sizes = np.array([len(own) for own in sets])
     prints = prints.view(np.uint64)
-    open_ = np.unique(rows, return_index=True)[1]  # a row may come from both chunks
+    open_ = np.arange(len(rows))
     links = []
     while len(open_) > 1:
         frontier, open_ = [open_[0]], open_[1:]
         while frontier and len(open_):
             at = frontier.pop()
-            maybe = np.bitwise_count(prints[open_] ^ prints[at]) <= SIMILAR_BITS
-            maybe &= (sizes[open_] >= similarity * sizes[at]) & (sizes[at] >= similarity * sizes[open_])
-            near = np.zeros(len(open_), bool)
-            for k in np.flatnonzero(maybe).tolist():
+            near = _maybe(prints, sizes, at, open_, similarity)
+            for k in np.flatnonzero(near).tolist():
                 near[k] = jaccard(sets[at], sets[open_[k]]) >= similarity
             links += [(int(rows[at]), x) for x in rows[open_[near]].tolist()]
             frontier += open_[near].tolist()
@@ -275,42 +323,64 @@ def _similar_batches(similarity: float):
     return link
 
 
-def similar_links(numbered: DataFrame, width: int, similarity: float, chunk: int = CHUNK) -> DataFrame:
-    """Links between rows whose shingles are similar, from a stored table (row, text)."""
-    key = Window.partitionBy("key")
-    candidates = (
-        numbered.mapInArrow(_band_batches(width), "row long, keys array<long>")
-        .select("row", F.explode("keys").alias("key"))
-        .withColumn("members", F.count("*").over(key))
-        .withColumn("key", F.bit_xor(F.xxhash64("row")).over(key))
+def _possible_parts(own: DataFrame, similarity: float, chunk: int, bulk: int) -> DataFrame:
+    """part, row: rows of a band that may be similar, each part once, from (row, fingerprint, size, keys).
+
+    Bands are counted by partial sums, and bands of the same rows are taken once.  A band of
+    many rows or shingles is dealt by a hash of the row into chunks; each two are a group.
+    """
+    dealt = own.select("row", "fingerprint", "size", F.explode("keys").alias("band"))
+    bands_ = (
+        dealt.groupBy("band")
+        .agg(
+            F.count("*").alias("members"),
+            F.sum("size").alias("shingles"),
+            F.bit_xor(F.xxhash64("row")).alias("rows"),
+        )
         .filter("members > 1")
-        .distinct()  # the same rows under several bands are compared once
-    )
-    dealt = stored(candidates, "candidates")
-    sets = numbered.join(dealt.select("row").distinct(), "row", "left_semi").mapInArrow(
-        _set_batches(width), "row long, fingerprint long, shingles binary"
+        .groupBy("rows", "members", "shingles")
+        .agg(F.min("band").alias("band"))
     )
-    group = Window.partitionBy("key", "members").orderBy("row")
-    small = dealt.filter(F.col("members") <= chunk).select(
-        "key", "members", F.lit(0).cast("long").alias("first"), F.lit(0).cast("long").alias("second"), "row"
+    pieces = F.ceil(F.greatest(F.col("members") / chunk, F.col("shingles") / bulk))
+    ranges = stored(bands_.select("band", pieces.alias("pieces")), "bands")
+    piece = F.pmod(F.xxhash64("row", F.lit(SEED)), F.col("pieces"))
+    groups = (
+        dealt.join(ranges, "band")
+        .withColumn("piece", piece)
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
+        .groupBy("band", F.least("piece", "other").alias("one"), F.greatest("piece", "other").alias("two"))
+        .agg(F.collect_list(F.struct("row", "fingerprint", "size")).alias("members"))
     )
-    ranked = (
-        dealt.filter(F.col("members") > chunk)
-        .withColumn("own", F.floor((F.row_number().over(group) - 1) / chunk))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.floor((F.col("members") - 1) / chunk))))
+    return groups.select("members").mapInArrow(_part_batches(similarity), "part long, row long").distinct()
+
+
+def similar_links(
+    numbered: DataFrame, width: int, similarity: float, chunk: int = CHUNK, bulk: int = BULK
+) -> DataFrame:
+    """Links between rows whose shingles are similar, from a stored table (row, text).
+
+    Rows of equal sets go by the least of them.  Bands, fingerprints and sizes say which
+    rows may be similar; only then do the sets of those rows move.
+    """
+    summaries = stored(numbered.mapInArrow(_summary_batches(width), SUMMARY), "summaries")
+    own = F.struct("row", "fingerprint", "size", "keys")
+    folded = stored(
+        summaries.groupBy("digest").agg(F.min_by(own, "row").alias("own"), F.count("*").alias("rows")), "folded"
     )
-    pairs = ranked.select(
-        "key", "members", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"), "row"
+    repeated = stored(folded.filter("rows > 1").select("digest", F.col("own.row").alias("a")), "repeated")
+    equal = summaries.select("digest", F.col("row").alias("b")).join(repeated, "digest").filter("a != b")
+    parts = stored(_possible_parts(folded.select("own.*"), similarity, chunk, bulk), "parts")
+    sets = numbered.join(parts.select("row").distinct(), "row", "left_semi").mapInArrow(
+        _set_batches(width), "row long, shingles binary"
     )
-    own = F.struct("row", "fingerprint", "shingles")
-    return (
-        small.unionByName(pairs)
-        .join(stored(sets, "sets"), "row")
-        .groupBy("key", "members", "first", "second")
-        .agg(F.collect_list(own).alias("group"))
+    named = parts.join(summaries.select("row", "fingerprint"), "row").join(sets, "row")
+    similar = (
+        named.groupBy("part")
+        .agg(F.collect_list(F.struct("row", "fingerprint", "shingles")).alias("group"))
         .select("group")
         .mapInArrow(_similar_batches(similarity), "a long, b long")
     )
+    return equal.select("a", "b").unionByName(similar)
 
 
 def drop_near_copies(
@@ -342,4 +412,6 @@ def drop_near_copies(
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node"))
     kept = roots.join(ids, "node").groupBy("root").agg(first.alias("kept"))
     dropped = roots.join(kept, "root").filter(F.col("node") != F.col("kept.node"))
-    return numbered.join(dropped.select(F.col("node").alias(own)), own, "left_anti").select(docs.columns)
+    # Stored, the table's size is known, and Spark broadcasts it only below its limit.
+    gone = stored(dropped.select(F.col("node").alias(own)), "dropped")
+    return numbered.join(gone, own, "left_anti").select(docs.columns)
