@@ -185,6 +185,44 @@ def test_drop_near_copies_by_similarity(spark, chunk):
     assert sorted(row.doc_id for row in kept) == [i for i in range(len(rows)) if root(i) == i]
 
 
+def test_similar_pairs_of_the_documents_are_linked(spark):
+    """All pairs of the table at 0.8 or more, by shared shingles, against the links' components."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = [(row.doc_id, plain_shingles(row.text or "")) for row in docs.collect()]
+    used = Counter(shingle for _, own in rows for shingle in own)
+    holders, pairs = {}, set()
+    for at, (_, own) in enumerate(rows):
+        rarest = sorted(own, key=lambda shingle: (used[shingle], shingle))
+        for shingle in rarest[: len(own) // 5 + 1]:  # a similar pair shares one of these
+            for other in holders.setdefault(shingle, []):
+                theirs = rows[other][1]
+                if len(own & theirs) >= 0.8 * len(own | theirs):
+                    pairs.add((other, at))
+            holders[shingle].append(at)
+    numbered = docs.select(docs.doc_id.alias("row"), docs.text)
+    links = simhash.similar_links(numbered, 5, 0.8)
+    root = {row.node: row.root for row in components(links).collect()}
+    found = sum(root.get(rows[a][0], -1) == root.get(rows[b][0], -2) for a, b in pairs)
+    print(f"{found} of {len(pairs)} similar pairs linked")
+    assert len(pairs) > 50 and found >= 0.99 * len(pairs)
+
+
+@pytest.mark.parametrize("bulk", [1000, simhash.BULK])
+def test_bulk_of_shingles_splits_a_band(spark, bulk):
+    """Sixty versions of a text, all in the same bands or nearly so, in groups cut by shingles."""
+    rng = random.Random(9)
+    base = words(rng, 300).split()
+    rows = []
+    for i in range(60):
+        own = list(base)
+        own[rng.randrange(len(own))] = f"v{i}"
+        rows.append((i, " ".join(own)))
+    texts = spark.createDataFrame(rows, "row long, text string")
+    links = [(row.a, row.b) for row in simhash.similar_links(texts, 5, 0.8, bulk=bulk).collect()]
+    root = {row.node: row.root for row in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert root == dict.fromkeys(range(60), 0)
+
+
 @pytest.mark.parametrize("by", [{}, {"width": 5, "similarity": 0.8}])
 def test_drop_near_copies_keeps_one_row_whatever_the_ids(spark, by):
     rng = random.Random(3)
@@ -219,14 +257,33 @@ def test_suffix_dedup(spark, tmp_path, hot, limit):
     assert sorted(map(tuple, got), key=str) == plain_repeats(corpus(), 60)
 
 
+def owned(found, length):
+    """The anchor of each string's start."""
+    strings = [
+        (start, place)
+        for place, left, right in zip(found[0].tolist(), found[4].tolist(), found[5].tolist(), strict=True)
+        for start in range(left, right - length + 1)
+    ]
+    assert len(dict(strings)) == len(strings)
+    return dict(strings)
+
+
 def test_anchors_of_segments_agree(monkeypatch):
     rng = random.Random(2)
     data = bytes(rng.choice(b"abcdef ") for _ in range(5000))
-    whole = suffixes.Finder().find(data)
+    whole = owned(suffixes.Finder().find(data), suffixes.LENGTH)
+    assert sorted(whole) == list(range(5000 - suffixes.LENGTH + 1))
     monkeypatch.setattr(suffixes, "SEGMENT", 1000)
-    parts = suffixes.Finder().find(data)
-    for a, b in zip(whole, parts, strict=True):
-        assert np.array_equal(a, b)
+    assert owned(suffixes.Finder().find(data), suffixes.LENGTH) == whole
+
+
+def test_equal_strings_have_equal_anchors():
+    rng = random.Random(8)
+    shared = bytes(rng.choice(b"ab ") for _ in range(900))
+    one, two = b"x" * 70 + shared + b"y" * 300, b"abab" * 90 + shared
+    first, second = (owned(suffixes.Finder().find(data), suffixes.LENGTH) for data in (one, two))
+    for i in range(len(shared) - suffixes.LENGTH + 1):
+        assert first[70 + i] - 70 == second[360 + i] - 360
 
 
 def test_bounded_classes_are_shared_prefixes():

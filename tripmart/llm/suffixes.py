@@ -4,9 +4,9 @@ A string of ``length`` bytes is repeated if it starts at two places of the corpu
 inside one document or in two.  Every byte covered by a repeated string is removed.
 
 1. Winnowing names *anchors*: places whose ``gram`` bytes hash least in some window of
-   one string.  Equal strings have the same anchor at the same place, so each string is
-   judged with its leftmost anchors' other occurrences only.
-2. An anchor comes with its *piece*, all bytes that a string around it can reach.
+   one string.  Each string has one anchor, and equal strings have the same at the same
+   place, so a string is judged with the other occurrences of its anchor only.
+2. An anchor comes with its *piece*, all bytes of the strings whose anchor it is.
    Pieces are counted by two 64-bit hashes: a piece that occurs twice is covered whole,
    an anchor that occurs once covers nothing.
 3. What is left are anchors whose pieces differ.  A string lies in one of three zones by
@@ -47,6 +47,8 @@ GRAM = 64
 HOT_PIECES = 1000
 BLOCK_BYTES = 200_000
 SEGMENT = 1 << 20
+#: Bits that number the places of a segment and of what strings reach beyond it.
+PLACE_BITS = 21
 
 
 class RollingHash:
@@ -101,12 +103,17 @@ def _running(values: np.ndarray, width: int, best) -> np.ndarray:
     return out
 
 
-def anchors(hashes: np.ndarray, width: int) -> np.ndarray:
-    """Places that hold the least hash of some run of ``width`` places."""
-    least = _running(hashes, width, np.minimum)
-    edge = np.zeros(width - 1, np.uint64)
-    reach = _running(np.concatenate((edge, least, edge)), width, np.maximum)
-    return np.flatnonzero(reach == hashes)
+def anchors(hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places with the least hash of some run of ``width`` places, first and last of these runs.
+
+    Each run has one place, the leftmost of those whose hashes agree in all but the low bits.
+    """
+    low = np.uint64((1 << PLACE_BITS) - 1)
+    keys = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
+    places = (_running(keys, width, np.minimum) & low).astype(np.int64)
+    parted = np.flatnonzero(np.diff(places))  # the place never moves left as runs move right
+    first = np.append(0, parted + 1)
+    return places[first], first, np.append(parted, len(places) - 1)
 
 
 def zones(length: int, gram: int) -> list[tuple[int, int]]:
@@ -123,7 +130,11 @@ class Finder:
         self.first, self.second = RollingHash(1), RollingHash(2)
 
     def find(self, data: bytes) -> tuple[np.ndarray, ...]:
-        """Places, gram hashes, piece hashes and 21 bits of each zone's core."""
+        """Places, gram hashes, piece hashes, 21 bits of each zone's core, piece bounds.
+
+        A piece holds the strings that have the anchor for their own.  An anchor on the
+        border of two segments has a piece in each, with different strings.
+        """
         parts = []
         before = self.length - self.gram
         for start in range(0, max(1, len(data) - self.length + 1), SEGMENT):
@@ -135,25 +146,23 @@ class Finder:
             one, two = self.first.sums(text), self.second.sums(text)
             grams = self.first.grams(one, self.gram)
             own = grams[start - low : min(len(data), stop) - low - self.gram + 1]
-            at = anchors(own, before + 1) + start - low
-            left, right = np.maximum(at - before, 0), np.minimum(at + self.length, len(text))
+            at, left, right = (x + start - low for x in anchors(own, before + 1))
+            right += self.length
             pieces = self.second.between(two, left, right) ^ mixed((at - left).astype(np.uint64))
             gram = self.first.between(one, at, at + self.gram)
             cores = np.zeros(len(at), np.uint64)
             for start_, stop_ in zones(self.length, self.gram):
-                inside = (at + start_ >= 0) & (at + stop_ <= len(text))
+                # The zone's strings start from at - (length - stop_) to at + start_.
+                inside = (left <= at + start_) & (right >= at + stop_)
                 core = self.second.between(two, np.maximum(at + start_, 0), np.minimum(at + stop_, len(text)))
-                # 0 stands for "reaches beyond the text": no string of the zone is there.
+                # 0 stands for "no string of the zone has this anchor".
                 bits = np.where(inside, core % np.uint64((1 << 21) - 1) + np.uint64(1), np.uint64(0))
                 cores = (cores << np.uint64(21)) | bits
-            parts.append((at + low, gram, pieces, cores))
+            parts.append((at + low, gram, pieces, cores, left + low, right + low))
         if not parts:
-            return (np.empty(0, np.int64),) + (np.empty(0, np.uint64),) * 3
-        if len(parts) == 1:
-            return parts[0]
-        columns = [np.concatenate(column) for column in zip(*parts, strict=True)]
-        _, once = np.unique(columns[0], return_index=True)
-        return tuple(column[once] for column in columns)
+            places, hashes = np.empty(0, np.int64), np.empty(0, np.uint64)
+            return places, hashes, hashes, hashes, places, places
+        return tuple(np.concatenate(column) for column in zip(*parts, strict=True))
 
 
 def _anchor_batches(length: int, gram: int):
@@ -170,8 +179,10 @@ def _anchor_batches(length: int, gram: int):
                     pa.array(np.repeat(rows, counts)),
                     pa.array(np.concatenate([x[0] for x in found])),
                     pa.array(np.concatenate([x[3] for x in found]).view(np.int64)),
+                    pa.array(np.concatenate([x[0] - x[4] for x in found]).astype(np.int16)),
+                    pa.array(np.concatenate([x[5] - x[0] for x in found]).astype(np.int16)),
                 ],
-                names=["anchor", "piece", "row", "place", "cores"],
+                names=["anchor", "piece", "row", "place", "cores", "behind", "ahead"],
             )
 
     return find
@@ -192,14 +203,15 @@ def repeated_anchors(rows: DataFrame, length: int, gram: int, hot: int) -> DataF
     in another piece; hot: too many of these.
     """
     found = rows.select("row", "text").mapInArrow(
-        _anchor_batches(length, gram), "anchor long, piece long, row long, place long, cores long"
+        _anchor_batches(length, gram),
+        "anchor long, piece long, row long, place long, cores long, behind short, ahead short",
     )
     same_anchor, same_piece = Window.partitionBy("anchor"), Window.partitionBy("anchor", "piece")
     marked = (
         found.withColumn("all", F.count("*").over(same_anchor))
         .filter("all > 1")
         .withColumn("copies", F.count("*").over(same_piece))
-        .withColumn("first", F.row_number().over(same_piece.orderBy("row", "place")) == 1)
+        .withColumn("first", F.row_number().over(same_piece.orderBy("row", "place", "behind")) == 1)
     )
     zones_shared = F.lit(0)
     for k in range(3):
@@ -217,7 +229,7 @@ def repeated_anchors(rows: DataFrame, length: int, gram: int, hot: int) -> DataF
     )
     return stored(
         marked.select(
-            "row", "place", "anchor", "copies", "zones",
+            "row", "place", "anchor", "behind", "ahead", "copies", "zones",
             (F.col("first") & (F.col("pieces") > 1)).alias("wanted"),
             (F.col("pieces") > hot).alias("hot"),
         ).filter("copies > 1 OR wanted"),
@@ -242,8 +254,9 @@ def _piece_batches(length: int, gram: int):
                 for mark in marks:
                     place = mark["place"]
                     used = [limits[k] for k in range(3) if mark["zones"] & (1 << k)]
-                    low = max(0, place - max(far for _, far in used))
-                    piece = data[low : place + length - min(near for near, _ in used)]
+                    low = place - min(mark["behind"], max(far for _, far in used))
+                    high = place + min(mark["ahead"], length - min(near for near, _ in used))
+                    piece = data[low:high]
                     if len(piece) >= length:
                         values = (
                             mark["anchor"], row, place, mark["copies"] == 1, mark["hot"],
@@ -454,11 +467,11 @@ def repeated_spans(
     marks = repeated_anchors(rows, length, gram, hot)
     whole = marks.filter("copies > 1").select(
         "row",
-        F.greatest(F.col("place") - (length - gram), F.lit(0)).alias("low"),
-        (F.col("place") + length).alias("high"),
+        (F.col("place") - F.col("behind")).alias("low"),
+        (F.col("place") + F.col("ahead")).alias("high"),
     )
     wanted = marks.filter("wanted").groupBy("row").agg(
-        F.collect_list(F.struct("place", "anchor", "copies", "hot", "zones")).alias("marks")
+        F.collect_list(F.struct("place", "anchor", "behind", "ahead", "copies", "hot", "zones")).alias("marks")
     )
     pieces = stored(
         wanted.join(rows, "row").select("row", "marks", "text").mapInArrow(_piece_batches(length, gram), PIECES),
