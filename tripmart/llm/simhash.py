@@ -326,23 +326,13 @@ def _similar_batches(similarity: float):
 def _possible_parts(own: DataFrame, similarity: float, chunk: int, bulk: int) -> DataFrame:
     """part, row: rows of a band that may be similar, each part once, from (row, fingerprint, size, keys).
 
-    Bands are counted by partial sums, and bands of the same rows are taken once.  A band of
-    many rows or shingles is dealt by a hash of the row into chunks; each two are a group.
+    Bands are counted by partial sums.  A band of many rows or shingles is dealt by a hash of
+    the row into chunks; each two are a group.
     """
     dealt = own.select("row", "fingerprint", "size", F.explode("keys").alias("band"))
-    bands_ = (
-        dealt.groupBy("band")
-        .agg(
-            F.count("*").alias("members"),
-            F.sum("size").alias("shingles"),
-            F.bit_xor(F.xxhash64("row")).alias("rows"),
-        )
-        .filter("members > 1")
-        .groupBy("rows", "members", "shingles")
-        .agg(F.min("band").alias("band"))
-    )
     pieces = F.ceil(F.greatest(F.col("members") / chunk, F.col("shingles") / bulk))
-    ranges = stored(bands_.select("band", pieces.alias("pieces")), "bands")
+    counted = dealt.groupBy("band").agg(F.count("*").alias("members"), F.sum("size").alias("shingles"))
+    ranges = stored(counted.filter("members > 1").select("band", pieces.alias("pieces")), "bands")
     piece = F.pmod(F.xxhash64("row", F.lit(SEED)), F.col("pieces"))
     groups = (
         dealt.join(ranges, "band")
@@ -363,24 +353,26 @@ def similar_links(
     rows may be similar; only then do the sets of those rows move.
     """
     summaries = stored(numbered.mapInArrow(_summary_batches(width), SUMMARY), "summaries")
-    own = F.struct("row", "fingerprint", "size", "keys")
-    folded = stored(
-        summaries.groupBy("digest").agg(F.min_by(own, "row").alias("own"), F.count("*").alias("rows")), "folded"
+    least = summaries.groupBy("digest").agg(F.min("row").alias("a"), F.count("*").alias("rows"))
+    repeated = stored(least.filter("rows > 1").select("digest", "a"), "repeated")
+    equal = stored(
+        summaries.select("digest", F.col("row").alias("b")).join(repeated, "digest").filter("a != b").select("a", "b"),
+        "equal",
     )
-    repeated = stored(folded.filter("rows > 1").select("digest", F.col("own.row").alias("a")), "repeated")
-    equal = summaries.select("digest", F.col("row").alias("b")).join(repeated, "digest").filter("a != b")
-    parts = stored(_possible_parts(folded.select("own.*"), similarity, chunk, bulk), "parts")
-    sets = numbered.join(parts.select("row").distinct(), "row", "left_semi").mapInArrow(
+    folded = summaries.join(equal.select(F.col("b").alias("row")), "row", "left_anti")
+    parts = _possible_parts(folded, similarity, chunk, bulk)
+    named = stored(parts.join(summaries.select("row", "fingerprint"), "row"), "named")
+    sets = numbered.join(named.select("row").distinct(), "row", "left_semi").mapInArrow(
         _set_batches(width), "row long, shingles binary"
     )
-    named = parts.join(summaries.select("row", "fingerprint"), "row").join(sets, "row")
     similar = (
-        named.groupBy("part")
+        named.join(sets, "row")
+        .groupBy("part")
         .agg(F.collect_list(F.struct("row", "fingerprint", "shingles")).alias("group"))
         .select("group")
         .mapInArrow(_similar_batches(similarity), "a long, b long")
     )
-    return equal.select("a", "b").unionByName(similar)
+    return equal.unionByName(similar)
 
 
 def drop_near_copies(
