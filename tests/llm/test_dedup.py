@@ -223,6 +223,72 @@ def test_bulk_of_shingles_splits_a_band(spark, bulk):
     assert root == dict.fromkeys(range(60), 0)
 
 
+def wide_pair(rng, size, similarity):
+    """Wide fingerprints of two sorted sets of a similarity, each of this many numbers."""
+    shared = round(2 * similarity / (1 + similarity) * size)
+    numbers = rng.integers(0, 1 << 63, 2 * size - shared, np.uint64) * np.uint64(2)
+    return [simhash.wide_bits(np.sort(own)) for own in (numbers[:size], numbers[size - shared :])]
+
+
+@pytest.mark.parametrize("size", [9, 90, 900])
+def test_candidates_agree_in_a_simhash_block(size):
+    """Recall of the candidates at a similarity of 0.8, and how few others agree and are near."""
+    rng = np.random.default_rng(size)
+    found = {0.8: 0, 0.0: 0}
+    for similarity in found:
+        for _ in range(500):
+            one, two = wide_pair(rng, size, similarity)
+            agree = np.any(simhash.block_keys(one) == simhash.block_keys(two))
+            found[similarity] += bool(agree) and (one[:128] != two[:128]).sum() <= simhash.SIMILAR_BITS
+    print(found)
+    assert found[0.8] >= 0.99 * 500 and found[0.0] == 0
+
+
+def test_less_bits_than_blocks_leave_a_block():
+    rng = np.random.default_rng(6)
+    bits = simhash.wide_bits(np.sort(rng.integers(0, 1 << 63, 300, np.uint64)))
+    for _ in range(200):
+        other = bits.copy()
+        other[rng.choice(len(bits), simhash.BLOCKS - 1, replace=False)] ^= True
+        assert np.any(simhash.block_keys(bits) == simhash.block_keys(other))
+
+
+def test_wide_bits_are_a_simhash():
+    """Against sums one by one; where just half the bits are set, the least number decides."""
+    rng = np.random.default_rng(7)
+    for size in (1, 2, 7, 600):
+        hashes = np.sort(rng.integers(0, 1 << 63, size, np.uint64))
+        rows = []
+        for value in hashes.tolist():
+            words = [value * int(odd) % 2**64 >> 32 for odd in simhash._ODD]
+            rows.append([int(bit) for word in words for bit in f"{word:032b}"])
+        sums = [sum(column) for column in zip(*rows, strict=True)]
+        expected = [2 * n > size or 2 * n == size and least for n, least in zip(sums, rows[0], strict=True)]
+        assert simhash.wide_bits(hashes).tolist() == [bool(bit) for bit in expected]
+    assert not simhash.wide_bits(np.empty(0, np.uint64)).any()
+
+
+def test_a_set_moves_once(spark, monkeypatch):
+    """Versions of a text agree in blocks in many ways, yet each row is in one group."""
+    tables, write = {}, simhash.stored
+
+    def stored(table, name):
+        tables[name] = write(table, name)
+        return tables[name]
+
+    monkeypatch.setattr(simhash, "stored", stored)
+    rng = random.Random(10)
+    base = words(rng, 300).split()
+    rows = []
+    for i in range(40):
+        own = list(base)
+        for _ in range(4):
+            own[rng.randrange(len(own))] = f"v{i}"
+        rows.append((i, " ".join(own)))
+    simhash.similar_links(spark.createDataFrame(rows, "row long, text string"), 5, 0.8).collect()
+    assert sorted(row.row for row in tables["named"].collect()) == list(range(40))
+
+
 @pytest.mark.parametrize("by", [{}, {"width": 5, "similarity": 0.8}])
 def test_drop_near_copies_keeps_one_row_whatever_the_ids(spark, by):
     rng = random.Random(3)

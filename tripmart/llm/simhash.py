@@ -14,11 +14,14 @@ component but never names it (``component_id`` is null if no member has an id);
 empty table gives an empty result; other columns are ignored.
 
 Near copies by similarity (``similar_links``) are pairs whose sets of shingles have a
-Jaccard similarity of at least a bound.  At 0.8 a pair's fingerprints lie about ten bits
-apart, too far for blocks of 64 bits, so bands of least hashes of the shingles give the
-candidates (a pair at 0.8 shares none of the bands once in 2,800); a wide SimHash radius
-and the sizes sort out most of the others before any set moves, and the shingles themselves
-decide.  Rows of equal sets are folded first.  Texts without words are alike.
+Jaccard similarity of at least a bound.  At 0.8 a seventh of a pair's bits differ, ten of
+64, too many for blocks of 64 bits; the fingerprint of a set is therefore wide: 64 blocks
+of 13 bits.  Fingerprints that differ in less than 64 of the 832 bits agree in a block, and
+a pair at 0.8 (126 bits expected) agrees in none once in 3,000.  Rows that agree in a block
+are candidates; the Hamming distance of their first 128 bits and their sizes say which may
+be similar.  The set of each such row moves once, to the others that it is chained to, and
+the shingles themselves decide.  Rows of equal sets are folded first.  Texts without words
+are alike.
 """
 
 from __future__ import annotations
@@ -41,10 +44,10 @@ SEED = 42
 CHUNK = 2048
 #: Shingles whose sets a task holds at once for one chunk of similar rows (32 MB).
 BULK = 4_000_000
-#: Least hashes in a band, bands, and bits that a similar pair may differ in: at 0.8 ten
-#: are expected, and 24 are five standard deviations more.
-BAND_SIZE, BANDS, SIMILAR_BITS = 5, 20, 24
-_ODD = np.random.default_rng(SEED).integers(0, 1 << 63, BAND_SIZE * BANDS, np.uint64) * np.uint64(2) + np.uint64(1)
+#: Blocks of a wide fingerprint, their bits, and how many of its first 128 bits a similar pair
+#: may differ in: at 0.8 nineteen are expected, and 34 are 3.6 standard deviations more.
+BLOCKS, BLOCK_BITS, SIMILAR_BITS = 64, 13, 34
+_ODD = np.random.default_rng(SEED).integers(0, 1 << 63, BLOCKS * BLOCK_BITS // 32, np.uint64) * np.uint64(2) + np.uint64(1)
 LOWER = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
 
 
@@ -193,33 +196,43 @@ def near_components(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     return rows.join(per_print, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
-def bands(hashes: np.ndarray) -> list[int]:
-    """A key of each band of least hashes of a set of shingles."""
-    least = np.full(len(_ODD), np.iinfo(np.uint64).max, np.uint64)
-    for start in range(0, len(hashes), 8192):
-        part = hashes[start : start + 8192, None] * _ODD
-        np.minimum(least, part.min(axis=0), out=least)
-    keys = (xxhash.xxh64_intdigest(band.tobytes(), k) for k, band in enumerate(least.reshape(BANDS, BAND_SIZE)))
-    return np.fromiter(keys, np.uint64, BANDS).view(np.int64).tolist()
+def wide_bits(hashes: np.ndarray) -> np.ndarray:
+    """The bits of a wide SimHash of a sorted set: those set in over half of its shingles'
+    bits, each multiplied out of the hash; where it is just half, the least shingle's bit."""
+    totals = np.zeros(BLOCKS * BLOCK_BITS, np.int64)
+    for start in range(0, len(hashes), 255):  # sums of 255 bits fit a byte
+        high = (hashes[start : start + 255, None] * _ODD >> np.uint64(32)).astype(">u4")
+        bits = np.unpackbits(high.view(np.uint8), axis=1)
+        totals += bits.sum(axis=0, dtype=np.uint8)
+        least = bits[0] if start == 0 else least
+    return 2 * totals + least > len(hashes) if len(hashes) else totals > 0
 
 
-SUMMARY = "row long, digest binary, fingerprint long, size long, keys array<long>"
+def block_keys(bits: np.ndarray) -> np.ndarray:
+    """A number of each block and its bits."""
+    values = bits.reshape(BLOCKS, BLOCK_BITS) @ (1 << np.arange(BLOCK_BITS))
+    return ((np.arange(BLOCKS) << BLOCK_BITS) + values).astype(np.int32)
+
+
+SUMMARY = "row long, digest binary, head long, tail long, size long, keys array<int>"
 
 
 def _summary_batches(width: int):
-    """Digest, fingerprint, size and band keys of each text's set of shingles."""
+    """Digest, first 128 bits of the fingerprint, size and block keys of each text's set of shingles."""
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, held in text_chunks(batches):
             found = [np.unique(shingle_hashes(text, width)) for text in held]
-            prints = np.array([majority_bits(own) for own in found], np.uint64)
+            wide = [wide_bits(own) for own in found]
+            first = np.array([np.packbits(bits[:128]) for bits in wide]).view(">i8").astype(np.int64)
             yield pa.RecordBatch.from_pydict(
                 {
                     "row": batch.column(0),
                     "digest": pa.array([xxhash.xxh3_128_digest(own.tobytes()) for own in found], pa.binary()),
-                    "fingerprint": pa.array(prints.view(np.int64)),
+                    "head": pa.array(first[:, 0]),
+                    "tail": pa.array(first[:, 1]),
                     "size": pa.array([len(own) for own in found], pa.int64()),
-                    "keys": pa.array([bands(own) for own in found], pa.list_(pa.int64())),
+                    "keys": pa.array([block_keys(bits) for bits in wide], pa.list_(pa.int32())),
                 }
             )
 
@@ -237,45 +250,66 @@ def _set_batches(width: int):
     return sets
 
 
-def _maybe(prints: np.ndarray, sizes: np.ndarray, at: int, others: np.ndarray, similarity: float) -> np.ndarray:
-    """Which others may be similar to the set at a place, by fingerprint and size."""
-    close = np.bitwise_count(prints[others] ^ prints[at]) <= SIMILAR_BITS
+def _maybe(prints: np.ndarray, sizes: np.ndarray, at, others: np.ndarray, similarity: float) -> np.ndarray:
+    """Which others may be similar to the set at a place, or at a place each, by fingerprint and size."""
+    bits = np.bitwise_count(prints[others] ^ prints[at])
+    close = bits[:, 0] + bits[:, 1] <= SIMILAR_BITS
     return close & (sizes[others] >= similarity * sizes[at]) & (sizes[at] >= similarity * sizes[others])
 
 
-def possible_groups(rows: np.ndarray, prints: np.ndarray, sizes: np.ndarray, similarity: float) -> list[np.ndarray]:
-    """Rows (sorted) of each component of the pairs that may be similar, if it has several."""
-    prints = prints.view(np.uint64)
-    open_ = np.unique(rows, return_index=True)[1]  # a row may come from both chunks
-    groups = []
+def possible_links(rows: np.ndarray, prints: np.ndarray, sizes: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """(member, member) links that span the components of the pairs that may be similar."""
+    open_ = np.arange(len(rows))
+    links = []
     while len(open_) > 1:
         frontier, open_ = [open_[0]], open_[1:]
-        members = list(frontier)
         while frontier and len(open_):
-            near = _maybe(prints, sizes, frontier.pop(), open_, similarity)
+            at = frontier.pop()
+            near = _maybe(prints, sizes, at, open_, similarity)
+            links += [(int(rows[at]), x) for x in rows[open_[near]].tolist()]
             frontier += open_[near].tolist()
-            members += open_[near].tolist()
             open_ = open_[~near]
-        if len(members) > 1:
-            groups.append(np.sort(rows[members]))
-    return groups
+    return links
 
 
-def _part_batches(similarity: float):
-    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, rows = [], []
-            for group in batch.column(0):
-                columns = (column.to_numpy() for column in group.values.flatten())
-                for members in possible_groups(*columns, similarity):
-                    keys.append(np.full(len(members), xxhash.xxh64_intdigest(members.tobytes()), np.uint64))
-                    rows.append(members)
-            found = [np.concatenate(column) if column else np.empty(0, np.int64) for column in (keys, rows)]
-            yield pa.RecordBatch.from_pydict(
-                {"part": pa.array(found[0].view(np.int64)), "row": pa.array(found[1].astype(np.int64))}
-            )
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Columns of rows sorted by the first, cut only where it changes."""
+    held: list[np.ndarray] = []
+    for batch in batches:
+        columns = [column.to_numpy() for column in batch.columns]
+        if held:
+            columns = [np.concatenate(both) for both in zip(held, columns, strict=True)]
+        last = np.searchsorted(columns[0], columns[0][-1]) if len(columns[0]) else 0
+        if last:
+            yield [column[:last] for column in columns]
+        held = [column[last:] for column in columns]
+    if held:
+        yield held
+
 
-    return parts
+def _possible_batches(similarity: float):
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group, rows, head, tail, sizes in _whole_groups(batches):
+            prints = np.stack([head, tail], axis=1).view(np.uint64)
+            ends = np.searchsorted(group, group, "right")
+            has_near = np.zeros(len(rows), bool)
+            at, step = np.arange(len(rows)), 1
+            while len(at := at[at + step < ends[at]]):
+                near = at[_maybe(prints, sizes, at, at + step, similarity)]
+                has_near[near] = has_near[near + step] = True
+                step += 1
+            left = np.flatnonzero(has_near)
+            links: list[tuple[int, int]] = []
+            for own in np.split(left, np.flatnonzero(np.diff(group[left])) + 1):
+                links += possible_links(rows[own], prints[own], sizes[own], similarity)
+            yield _link_batch(links)
+
+    return link
+
+
+def _link_batch(links: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = zip(*links, strict=True) if links else ((), ())
+    return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -289,7 +323,6 @@ def similar_spanning_links(
 ) -> list[tuple[int, int]]:
     """(member, member) links that span the components of the similar pairs."""
     sizes = np.array([len(own) for own in sets])
-    prints = prints.view(np.uint64)
     open_ = np.arange(len(rows))
     links = []
     while len(open_) > 1:
@@ -310,38 +343,49 @@ def _similar_batches(similarity: float):
         for batch in batches:
             links: list[tuple[int, int]] = []
             for group in batch.column(0):
-                rows, prints, sets = group.values.flatten()
+                rows, head, tail, sets = group.values.flatten()
                 links += similar_spanning_links(
                     rows.to_numpy(),
-                    prints.to_numpy(),
+                    np.stack([head.to_numpy(), tail.to_numpy()], axis=1).view(np.uint64),
                     [np.frombuffer(own.as_py(), np.uint64) for own in sets],
                     similarity,
                 )
-            a, b = zip(*links, strict=True) if links else ((), ())
-            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+            yield _link_batch(links)
 
     return link
 
 
-def _possible_parts(own: DataFrame, similarity: float, chunk: int, bulk: int) -> DataFrame:
-    """part, row: rows of a band that may be similar, each part once, from (row, fingerprint, size, keys).
+def _paired(table: DataFrame, key: str, chunk: int, bulk: int) -> DataFrame:
+    """The rows (with size) and the two pieces ``one`` and ``two`` of their key that meet in a group.
 
-    Bands are counted by partial sums.  A band of many rows or shingles is dealt by a hash of
-    the row into chunks; each two are a group.
+    Keys are counted by partial sums.  A key of many rows or shingles is dealt by a hash of the
+    row into pieces, and each two are a group; there is at most one such key for ``chunk`` rows
+    or ``bulk`` shingles.  Any other key is one group.
     """
-    dealt = own.select("row", "fingerprint", "size", F.explode("keys").alias("band"))
     pieces = F.ceil(F.greatest(F.col("members") / chunk, F.col("shingles") / bulk))
-    counted = dealt.groupBy("band").agg(F.count("*").alias("members"), F.sum("size").alias("shingles"))
-    ranges = stored(counted.filter("members > 1").select("band", pieces.alias("pieces")), "bands")
-    piece = F.pmod(F.xxhash64("row", F.lit(SEED)), F.col("pieces"))
-    groups = (
-        dealt.join(ranges, "band")
+    counted = table.groupBy(key).agg(F.count("*").alias("members"), F.sum("size").alias("shingles"))
+    large = stored(counted.select(key, pieces.alias("pieces")).filter("pieces > 1"), "large")
+    piece = F.pmod(F.xxhash64("row", F.lit(SEED)), F.coalesce("pieces", F.lit(1)))
+    others = F.sequence(F.lit(0).cast("long"), F.coalesce("pieces", F.lit(1)) - 1)
+    return (
+        table.join(F.broadcast(large), key, "left")
         .withColumn("piece", piece)
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
-        .groupBy("band", F.least("piece", "other").alias("one"), F.greatest("piece", "other").alias("two"))
-        .agg(F.collect_list(F.struct("row", "fingerprint", "size")).alias("members"))
+        .withColumn("other", F.explode(others))
+        .withColumns({"one": F.least("piece", "other"), "two": F.greatest("piece", "other")})
+        .drop("pieces", "piece", "other")
+    )
+
+
+def _possible(own: DataFrame, similarity: float, chunk: int, bulk: int) -> DataFrame:
+    """Links between rows that agree in a block and may be similar, from (row, head, tail, size, keys)."""
+    dealt = _paired(own.select("row", "head", "tail", "size", F.explode("keys").alias("key")), "key", chunk, bulk)
+    key = F.shiftleft(F.shiftleft(F.col("key").cast("long"), 22) + F.col("one"), 22) + F.col("two")
+    groups = (
+        dealt.select(key.alias("group"), "row", "head", "tail", "size")
+        .repartition("group")
+        .sortWithinPartitions("group")
     )
-    return groups.select("members").mapInArrow(_part_batches(similarity), "part long, row long").distinct()
+    return groups.mapInArrow(_possible_batches(similarity), "a long, b long")
 
 
 def similar_links(
@@ -349,8 +393,9 @@ def similar_links(
 ) -> DataFrame:
     """Links between rows whose shingles are similar, from a stored table (row, text).
 
-    Rows of equal sets go by the least of them.  Bands, fingerprints and sizes say which
-    rows may be similar; only then do the sets of those rows move.
+    Rows of equal sets go by the least of them.  Blocks, fingerprints and sizes say which
+    rows may be similar; only then do the sets of those rows move, to the rows that chains
+    of such pairs lead to.
     """
     summaries = stored(numbered.mapInArrow(_summary_batches(width), SUMMARY), "summaries")
     least = summaries.groupBy("digest").agg(F.min("row").alias("a"), F.count("*").alias("rows"))
@@ -360,15 +405,16 @@ def similar_links(
         "equal",
     )
     folded = summaries.join(equal.select(F.col("b").alias("row")), "row", "left_anti")
-    parts = _possible_parts(folded, similarity, chunk, bulk)
-    named = stored(parts.join(summaries.select("row", "fingerprint"), "row"), "named")
-    sets = numbered.join(named.select("row").distinct(), "row", "left_semi").mapInArrow(
-        _set_batches(width), "row long, shingles binary"
-    )
+    chained = components(_possible(folded, similarity, chunk, bulk)).toDF("row", "part")
+    named = stored(chained.join(summaries.select("row", "head", "tail", "size"), "row"), "named")
+    # Stored alone, the numbers are small enough to be sent to the texts, as long as Spark's limit allows.
+    wanted = stored(named.select("row"), "wanted")
+    sets = numbered.join(wanted, "row", "left_semi").mapInArrow(_set_batches(width), "row long, shingles binary")
     similar = (
-        named.join(sets, "row")
-        .groupBy("part")
-        .agg(F.collect_list(F.struct("row", "fingerprint", "shingles")).alias("group"))
+        _paired(named, "part", chunk, bulk)
+        .join(sets, "row")
+        .groupBy("part", "one", "two")
+        .agg(F.collect_list(F.struct("row", "head", "tail", "shingles")).alias("group"))
         .select("group")
         .mapInArrow(_similar_batches(similarity), "a long, b long")
     )
