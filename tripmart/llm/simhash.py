@@ -45,7 +45,7 @@ CHUNK = 2048
 #: Shingles whose sets a task holds at once for one chunk of similar rows (32 MB).
 BULK = 4_000_000
 #: Blocks of a wide fingerprint, their bits, and how many of its first 128 bits a similar pair
-#: may differ in: at 0.8 nineteen are expected, and 34 are 3.6 standard deviations more.
+#: may differ in: at 0.8 nineteen are expected, and more than 34 are found once in 3,600.
 BLOCKS, BLOCK_BITS, SIMILAR_BITS = 64, 13, 34
 _ODD = np.random.default_rng(SEED).integers(0, 1 << 63, BLOCKS * BLOCK_BITS // 32, np.uint64) * np.uint64(2) + np.uint64(1)
 LOWER = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
@@ -197,8 +197,11 @@ def near_components(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
 
 
 def wide_bits(hashes: np.ndarray) -> np.ndarray:
-    """The bits of a wide SimHash of a sorted set: those set in over half of its shingles'
-    bits, each multiplied out of the hash; where it is just half, the least shingle's bit."""
+    """The bits of a wide SimHash of a sorted set: those that over half of its shingles have set.
+
+    A shingle's bits are the upper halves of its hash's products; where just half of the
+    shingles have a bit set, the least shingle decides.
+    """
     totals = np.zeros(BLOCKS * BLOCK_BITS, np.int64)
     for start in range(0, len(hashes), 255):  # sums of 255 bits fit a byte
         high = (hashes[start : start + 255, None] * _ODD >> np.uint64(32)).astype(">u4")
